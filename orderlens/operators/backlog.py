@@ -8,35 +8,36 @@ buckets of one key, whatever the key's share of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SECOND = 1_000_000
 _DAY = 86_400 * _SECOND
 
 
-def _micros(ts: str) -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
-
-
 def with_backlog(df: DataFrame, key: str, ts: str, days: int, name: str) -> DataFrame:
     """Add ``name``: rows of the same key from ``days`` days up to one second before the row's time.
 
     Rows with a NULL key or time get NULL.
     """
     width = days * _DAY
+    micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)"
     counts = (
-        df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+        df.where(f"`{key}` IS NOT NULL AND `{ts}` IS NOT NULL")
         .groupBy(key, ts)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_t", _micros(ts))
-        .withColumn("_bucket", F.floor(F.col("_t") / width))
+        .selectExpr("*", f"{micros} AS _t", f"floor({micros} / {width}) AS _bucket")
     )
-    look_back = Window.partitionBy(key, "_in").orderBy("_t").rangeBetween(-width, -_SECOND)
     backlog = (
-        counts.withColumn("_in", F.explode(F.array("_bucket", F.col("_bucket") + 1)))
-        .withColumn(name, F.coalesce(F.sum("_n").over(look_back), F.lit(0).cast("bigint")))
-        .where(F.col("_in") == F.col("_bucket"))
-        .select(key, ts, name)
+        counts.selectExpr("*", "explode(array(_bucket, _bucket + 1)) AS _in")
+        .selectExpr(
+            f"`{key}`",
+            f"`{ts}`",
+            f"coalesce(sum(_n) OVER (PARTITION BY `{key}`, _in ORDER BY _t "
+            f"RANGE BETWEEN {width} PRECEDING AND {_SECOND} PRECEDING), 0L) AS `{name}`",
+            "_in = _bucket AS _own",
+        )
+        .where("_own")
+        .drop("_own")
     )
     return df.join(backlog, [key, ts], "left").select(*df.columns, name)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.sources.staging import staged
@@ -36,13 +36,6 @@ _PART, _LO, _HI = "_part", "_lo", "_hi"
 _SPREAD = 4096
 
 
-def _has_key(key: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for k in key:
-        present = present & F.col(k).isNotNull()
-    return present
-
-
 def find_cuts(
     df: DataFrame,
     key: Sequence[str],
@@ -56,7 +49,7 @@ def find_cuts(
     """
     if at_most is not None and at_most <= policy.rows_per_task:
         return None
-    seen = df.select(*key, *order).where(_has_key(key))
+    seen = df.select(*key, *order).where(_known(key))
     if policy.sample < 1.0:
         seen = seen.sample(policy.sample, policy.seed)
     limit = policy.rows_per_task * policy.sample
@@ -89,18 +82,22 @@ def find_cuts(
     return staged(cuts, "cuts")
 
 
+def _names(columns: Sequence[str], prefix: str = "") -> str:
+    return ", ".join(f"{prefix}`{c}`" for c in columns)
+
+
+def _known(key: Sequence[str]) -> str:
+    return " AND ".join(f"`{k}` IS NOT NULL" for k in key)
+
+
 def _assign_parts(df: DataFrame, key: Sequence[str], order: Sequence[str], cuts: DataFrame, how: str) -> DataFrame:
-    at = F.struct(*[F.col(f"r.{c}") for c in order])
-    same_key = F.lit(True)
-    for k in key:
-        same_key = same_key & (F.col(f"r.{k}") == F.col(f"c.{k}"))
-    inside = (F.col(f"c.{_LO}").isNull() | (at >= F.col(f"c.{_LO}"))) & (
-        F.col(f"c.{_HI}").isNull() | (at < F.col(f"c.{_HI}"))
-    )
+    same_key = " AND ".join(f"r.`{k}` = c.`{k}`" for k in key)
+    at = f"struct({_names(order, 'r.')})"
+    inside = f"(c.{_LO} IS NULL OR {at} >= c.{_LO}) AND (c.{_HI} IS NULL OR {at} < c.{_HI})"
     return (
         df.alias("r")
-        .join(F.broadcast(cuts.alias("c")), same_key & inside, how)
-        .select("r.*", F.col(f"c.{_PART}"))
+        .join(F.broadcast(cuts.alias("c")), F.expr(f"{same_key} AND {inside}"), how)
+        .selectExpr("r.*", f"c.{_PART}")
     )
 
 
@@ -109,70 +106,76 @@ def with_history(
     key: Sequence[str],
     order: Sequence[str],
     *,
-    before: Mapping[str, Column] | None = None,
-    recent: Mapping[str, Column] | None = None,
+    before: Mapping[str, str] | None = None,
+    recent: Mapping[str, str] | None = None,
     recent_rows: int = 5,
-    previous: Mapping[str, Column] | None = None,
-    total: Mapping[str, Column] | None = None,
+    previous: Mapping[str, str] | None = None,
+    total: Mapping[str, str] | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
     at_most: int | None = None,
 ) -> DataFrame:
-    """Add history columns to every row of ``df``.
+    """Add history columns to every row of ``df``. Each mapping goes from column name to a SQL expression:
 
-    ``before``   sum of the expression over all earlier rows of the key (0 for the first row)
-    ``recent``   sum over the ``recent_rows`` rows before this one (0 for the first row)
-    ``previous`` value on the row before this one (NULL for the first row)
-    ``total``    sum over all rows of the key
+    ``before``   its sum over all earlier rows of the key (0 for the first row)
+    ``recent``   its sum over the ``recent_rows`` rows before this one (0 for the first row)
+    ``previous`` its value on the row before this one (NULL for the first row)
+    ``total``    its sum over all rows of the key
 
-    ``order`` must be non-null columns that order the rows of a key completely. Rows whose key is
-    NULL have no history: they get NULLs and are spread over many tasks.
+    ``order`` must order the rows of a key completely. Rows whose key is NULL have no history: they
+    get NULLs and are spread over many tasks. ``at_most`` bounds the rows of ``df`` where known.
     """
     before, recent, previous, total = (dict(m or {}) for m in (before, recent, previous, total))
     key, order = list(key), list(order)
     inputs = {**before, **recent, **previous, **total}
-    rows = df.withColumns({f"_in_{name}": expr for name, expr in inputs.items()})
+    rows = df.selectExpr("*", *[f"{e} AS `_in_{n}`" for n, e in inputs.items()])
     cuts = find_cuts(df, key, order, policy, at_most)
 
+    carried = halo = None
     if cuts is None:
-        split = rows.withColumn(_PART, F.lit(0))
-        carried, halo = None, None
+        part = "0"
     else:
-        split = _assign_parts(rows, key, order, cuts, "left")
         hot = _assign_parts(rows, key, order, cuts, "inner")
+        rows = _assign_parts(rows, key, order, cuts, "left")
+        part = f"coalesce({_PART}, 0)"
         carried = _carry_sums(hot, key, list(before), list(total))
-        halo = _carry_rows(hot, key, order, [*recent, *previous], recent_rows) if recent or previous else None
-
-    spread = F.pmod(F.xxhash64(*order), F.lit(_SPREAD)).cast("int")
-    split = split.withColumn(
-        _PART, F.when(_has_key(key), F.coalesce(F.col(_PART), F.lit(0))).otherwise(-1 - spread)
+        if recent or previous:
+            halo = _carry_rows(hot, key, order, [*recent, *previous], recent_rows)
+    spread = f"-1 - pmod(xxhash64({_names(order)}), {_SPREAD})"
+    kept = [c for c in rows.columns if c != _PART]
+    rows = rows.selectExpr(
+        *[f"`{c}`" for c in kept], f"CAST(CASE WHEN {_known(key)} THEN {part} ELSE {spread} END AS int) AS {_PART}"
     )
     if halo is not None:
-        split = split.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+        rows = rows.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
 
-    group = Window.partitionBy(*key, _PART)
-    ordered = group.orderBy(*order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    last_few = ordered.rowsBetween(-recent_rows, -1)
+    group = f"PARTITION BY {_names(key)}, {_PART}"
+    ordered = f"{group} ORDER BY {_names(order)}"
     # Carried-over rows of earlier parts only serve `recent` and `previous`.
-    own = (lambda c: F.when(~F.col("_halo"), c)) if halo is not None else (lambda c: c)
-    columns = {n: F.sum(own(F.col(f"_in_{n}"))).over(so_far) for n in before}
-    columns |= {n: F.sum(F.col(f"_in_{n}")).over(last_few) for n in recent}
-    columns |= {n: F.lag(F.col(f"_in_{n}")).over(ordered) for n in previous}
-    columns |= {n: F.sum(own(F.col(f"_in_{n}"))).over(group) for n in total}
-    out = split.withColumns(columns)
+    own = "`_in_{}`" if halo is None else "CASE WHEN NOT _halo THEN `_in_{}` END"
+    windows = [
+        f"sum({own.format(n)}) OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS `{n}`"
+        for n in before
+    ]
+    windows += [
+        f"sum(`_in_{n}`) OVER ({ordered} ROWS BETWEEN {recent_rows} PRECEDING AND 1 PRECEDING) AS `{n}`"
+        for n in recent
+    ]
+    windows += [f"lag(`_in_{n}`) OVER ({ordered}) AS `{n}`" for n in previous]
+    windows += [f"sum({own.format(n)}) OVER ({group}) AS `{n}`" for n in total]
+    out = rows.selectExpr("*", *windows)
     if halo is not None:
-        out = out.where(~F.col("_halo"))
+        out = out.where("NOT _halo")
 
-    if carried is not None and (before or total):
+    value = {n: f"coalesce(`{n}`, 0)" for n in [*before, *recent, *total]}
+    if carried is not None:
         out = out.join(F.broadcast(carried), [*key, _PART], "left")
-        out = out.withColumns(
-            {n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_add_{n}"), F.lit(0)) for n in before}
-            | {n: F.coalesce(F.col(f"_all_{n}"), F.col(n)) for n in total}
-        )
-    final = {n: F.when(_has_key(key), F.coalesce(F.col(n), F.lit(0))) for n in [*before, *recent, *total]}
-    final |= {n: F.when(_has_key(key), F.col(n)) for n in previous}
-    out = out.withColumns(final)
-    return out.select(*df.columns, *inputs)
+        value |= {n: f"coalesce(`{n}`, 0) + coalesce(`_add_{n}`, 0)" for n in before}
+        value |= {n: f"coalesce(`_all_{n}`, `{n}`, 0)" for n in total}
+    value |= {n: f"`{n}`" for n in previous}
+    return out.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"CASE WHEN {_known(key)} THEN {value[n]} END AS `{n}`" for n in inputs],
+    )
 
 
 def _carry_sums(hot: DataFrame, key: list[str], before: list[str], total: list[str]) -> DataFrame | None:
@@ -181,31 +184,35 @@ def _carry_sums(hot: DataFrame, key: list[str], before: list[str], total: list[s
     if not names:
         return None
     parts = hot.groupBy(*key, _PART).agg(*[F.sum(f"_in_{n}").alias(n) for n in names])
-    earlier = Window.partitionBy(*key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*key)
-    return parts.select(
-        *key,
+    earlier = f"PARTITION BY {_names(key)} ORDER BY {_PART} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return parts.selectExpr(
+        *[f"`{k}`" for k in key],
         _PART,
-        *[F.sum(n).over(earlier).alias(f"_add_{n}") for n in before],
-        *[F.sum(n).over(whole).alias(f"_all_{n}") for n in total],
+        *[f"sum(`{n}`) OVER ({earlier}) AS `_add_{n}`" for n in before],
+        *[f"sum(`{n}`) OVER (PARTITION BY {_names(key)}) AS `_all_{n}`" for n in total],
     )
 
 
 def _carry_rows(hot: DataFrame, key: list[str], order: list[str], names: list[str], rows: int) -> DataFrame:
     """For every part, the last ``rows`` rows that come before it, labelled with that part."""
     inputs = [f"_in_{n}" for n in names]
-    newest = Window.partitionBy(*key, _PART).orderBy(*[F.col(c).desc() for c in order])
+    newest = ", ".join(f"`{c}` DESC" for c in order)
     tails = (
-        hot.select(*key, _PART, *order, *inputs)
-        .withColumn("_i", F.row_number().over(newest))
-        .where(F.col("_i") <= rows)
+        hot.selectExpr(
+            *[f"`{c}`" for c in [*key, _PART, *order, *inputs]],
+            f"row_number() OVER (PARTITION BY {_names(key)}, {_PART} ORDER BY {newest}) AS _i",
+        )
+        .where(f"_i <= {rows}")
+        .drop("_i")
     )
-    along = Window.partitionBy(*key).orderBy(*order)
-    first = Window.partitionBy(*key, _PART).orderBy(*order)
     return (
-        tails.withColumn("_last", F.collect_list(F.struct(*order, *inputs)).over(along.rowsBetween(-rows, -1)))
-        .withColumn("_first", F.row_number().over(first))
-        .where((F.col("_first") == 1) & (F.col(_PART) > 0))
-        .select(*key, _PART, F.explode("_last").alias("_row"))
-        .select(*key, _PART, "_row.*", F.lit(True).alias("_halo"))
+        tails.selectExpr(
+            "*",
+            f"collect_list(struct({_names([*order, *inputs])})) OVER (PARTITION BY {_names(key)} "
+            f"ORDER BY {_names(order)} ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING) AS _last",
+            f"row_number() OVER (PARTITION BY {_names(key)}, {_PART} ORDER BY {_names(order)}) AS _first",
+        )
+        .where(f"_first = 1 AND {_PART} > 0")
+        .selectExpr(*[f"`{k}`" for k in key], _PART, "explode(_last) AS _row")
+        .selectExpr(*[f"`{k}`" for k in key], _PART, "_row.*", "true AS _halo")
     )

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.functions.calendar import weekday
 from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy
 from orderlens.plans import history
 from orderlens.plans.facts import order_facts
@@ -17,22 +16,49 @@ from orderlens.sources.staging import staged
 
 TS = "order_purchase_timestamp"
 
-ANALYTICAL_SCHEMA = T.StructType.fromDDL(
-    """
-    order_id string, customer_id string, customer_city string, customer_state string,
-    seller_city string, seller_state string, is_same_state int, distance_km double, is_late int,
-    order_purchase_timestamp timestamp_ntz, purchase_day_of_week int, purchase_hour int, purchase_month int,
-    total_items bigint, total_price double, total_freight double, total_weight_g bigint,
-    avg_product_volume_cm3 double, freight_ratio double, product_category string,
-    total_payment double, max_installments int, primary_payment_type string,
-    avg_product_photos double, avg_description_length double,
-    seller_shipping_buffer_days int, shipping_limit_spread int, lead_time_days_estimated int,
-    seller_historical_delay_rate double, seller_avg_review_score double,
-    seller_state_backlog bigint, customer_state_backlog bigint, customer_total_orders bigint,
-    seller_recent_delay_rate double, seconds_since_last_seller_order bigint,
-    seller_intensity_score double, route_delay_rate double
-    """
+_TEXT, _INT, _LONG, _DOUBLE, _TIME = (
+    T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampNTZType(),
 )
+ANALYTICAL_TYPES: dict[str, T.DataType] = {
+    "order_id": _TEXT,
+    "customer_id": _TEXT,
+    "customer_city": _TEXT,
+    "customer_state": _TEXT,
+    "seller_city": _TEXT,
+    "seller_state": _TEXT,
+    "is_same_state": _INT,
+    "distance_km": _DOUBLE,
+    "is_late": _INT,
+    "order_purchase_timestamp": _TIME,
+    "purchase_day_of_week": _INT,
+    "purchase_hour": _INT,
+    "purchase_month": _INT,
+    "total_items": _LONG,
+    "total_price": _DOUBLE,
+    "total_freight": _DOUBLE,
+    "total_weight_g": _LONG,
+    "avg_product_volume_cm3": _DOUBLE,
+    "freight_ratio": _DOUBLE,
+    "product_category": _TEXT,
+    "total_payment": _DOUBLE,
+    "max_installments": _INT,
+    "primary_payment_type": _TEXT,
+    "avg_product_photos": _DOUBLE,
+    "avg_description_length": _DOUBLE,
+    "seller_shipping_buffer_days": _INT,
+    "shipping_limit_spread": _INT,
+    "lead_time_days_estimated": _INT,
+    "seller_historical_delay_rate": _DOUBLE,
+    "seller_avg_review_score": _DOUBLE,
+    "seller_state_backlog": _LONG,
+    "customer_state_backlog": _LONG,
+    "customer_total_orders": _LONG,
+    "seller_recent_delay_rate": _DOUBLE,
+    "seconds_since_last_seller_order": _LONG,
+    "seller_intensity_score": _DOUBLE,
+    "route_delay_rate": _DOUBLE,
+}
+ANALYTICAL_SCHEMA = T.StructType([T.StructField(n, k) for n, k in ANALYTICAL_TYPES.items()])
 ANALYTICAL_COLUMNS = ANALYTICAL_SCHEMA.names
 
 # Which columns need more than the order's own items, customer and seller.
@@ -64,40 +90,24 @@ _DEFAULTS = {
 }
 
 
-def same_state() -> Column:
-    return F.when(F.col("customer_state") == F.col("seller_state"), 1).otherwise(0)
-
-
-def freight_ratio() -> Column:
-    return F.try_divide(F.col("total_freight"), F.col("total_price"))
-
-
-def seller_intensity() -> Column:
-    return F.try_divide(
-        F.coalesce("seller_state_backlog", F.lit(0)).cast("double"), F.col("seller_rows").cast("double")
-    )
+# Columns that are not simply carried over from the order facts.
+_EXPRESSIONS = {
+    "is_same_state": "CASE WHEN customer_state = seller_state THEN 1 ELSE 0 END",
+    "purchase_day_of_week": f"weekday({TS})",  # Monday = 0
+    "purchase_hour": f"hour({TS})",
+    "purchase_month": f"month({TS})",
+    "freight_ratio": "try_divide(total_freight, total_price)",
+    "seller_shipping_buffer_days": f"datediff(max_shipping_limit_date, {TS})",
+    "lead_time_days_estimated": f"datediff(order_estimated_delivery_date, {TS})",
+    "seller_intensity_score": "try_divide(CAST(coalesce(seller_state_backlog, 0) AS double), seller_rows)",
+}
 
 
-def _output_column(name: str) -> Column:
-    derived = {
-        "is_same_state": same_state(),
-        "purchase_day_of_week": weekday(F.col(TS)),
-        "purchase_hour": F.hour(TS),
-        "purchase_month": F.month(TS),
-        "freight_ratio": freight_ratio(),
-        "seller_shipping_buffer_days": F.datediff("max_shipping_limit_date", TS),
-        "lead_time_days_estimated": F.datediff("order_estimated_delivery_date", TS),
-        "seller_intensity_score": seller_intensity(),
-    }
-    column = derived.get(name, F.col(name))
+def _output(name: str) -> str:
+    value = _EXPRESSIONS.get(name, name)
     if name in _DEFAULTS:
-        column = F.coalesce(column, F.lit(_DEFAULTS[name]))
-    return column.cast(ANALYTICAL_SCHEMA[name].dataType).alias(name)
-
-
-def _copies(reviews: Column, policy: SkewPolicy) -> Column:
-    """Into how many pieces an order's reviews are split when joining (1 for any ordinary order)."""
-    return F.greatest(F.lit(1), F.ceil(reviews / F.lit(policy.rows_per_task))).cast("int")
+        value = f"coalesce({value}, {_DEFAULTS[name]})"
+    return f"CAST({value} AS {ANALYTICAL_TYPES[name].simpleString()}) AS {name}"
 
 
 def analytical_dataset(
@@ -127,16 +137,14 @@ def analytical_dataset(
         facts = staged(facts, "order-facts")
         at_most = facts.count()
 
-    known = F.col("has_customer") & F.col("has_seller")
-    rows = facts.where(known)
+    rows = facts.where("has_customer AND has_seller")
     if histories - {"review"}:
         rows = rows.join(_order_histories(facts, histories, policy, at_most), "order_id")
     if "review" in histories:
         rows = _with_review_scores(rows, facts, t, dedupe_reviews, policy)
     elif not dedupe_reviews:
-        times = F.sequence(F.lit(1).cast("bigint"), F.greatest(F.col("review_count"), F.lit(1)))
-        rows = rows.withColumn("_review", F.explode(times))
-    return rows.select(*[_output_column(c) for c in wanted])
+        rows = rows.selectExpr("*", "explode(sequence(1L, greatest(review_count, 1L)))")
+    return rows.selectExpr(*[_output(c) for c in wanted])
 
 
 def _order_histories(facts: DataFrame, histories: set[str], policy: SkewPolicy, at_most: int) -> DataFrame:
@@ -144,8 +152,7 @@ def _order_histories(facts: DataFrame, histories: set[str], policy: SkewPolicy,
     has to be joined back; orders that will not be in the dataset drop out at the end."""
     slim = facts.select(
         "order_id", TS, "is_late", "seller_id", "seller_state", "customer_unique_id", "customer_state",
-        "review_count", F.coalesce("has_customer", F.lit(False)).alias("has_customer"),
-        F.coalesce("has_seller", F.lit(False)).alias("has_seller"),
+        "review_count", "has_customer", "has_seller",
     )
     inputs = [c for c in slim.columns if c != "order_id"]
     if "customer" in histories:
@@ -165,17 +172,17 @@ def _with_review_scores(
     rows: DataFrame, facts: DataFrame, t: Marketplace, dedupe: bool, policy: SkewPolicy
 ) -> DataFrame:
     """Join the per-review rows back to their order, an order with very many reviews in pieces."""
-    scores = history.seller_review_history(facts, t.order_reviews, policy)
+    at_most = facts.agg(F.sum(F.greatest("review_count", F.lit(1)))).first()[0] or 0
+    scores = history.seller_review_history(facts, t.order_reviews, policy, at_most)
     if dedupe:
         first = scores.groupBy("order_id").agg(
             F.min_by("seller_avg_review_score", "review_id").alias("seller_avg_review_score")
         )
         return rows.join(first, "order_id", "left")
-    pieces = _copies(F.col("review_count"), policy)
-    scores = scores.select(
-        "order_id",
-        F.pmod(F.xxhash64("review_id"), pieces).cast("int").alias("_piece"),
-        "seller_avg_review_score",
+    # 1 for any ordinary order
+    pieces = f"CAST(greatest(1, ceil(review_count / {policy.rows_per_task})) AS int)"
+    scores = scores.selectExpr(
+        "order_id", f"CAST(pmod(xxhash64(review_id), {pieces}) AS int) AS _piece", "seller_avg_review_score"
     )
-    rows = rows.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    rows = rows.selectExpr("*", f"explode(sequence(0, {pieces} - 1)) AS _piece")
     return rows.join(scores, ["order_id", "_piece"])

@@ -21,7 +21,7 @@ ORDER = [TS, "order_id"]
 
 
 def _rate(total: str, count: str) -> Column:
-    return F.try_divide(F.col(total).cast("double"), F.col(count))
+    return F.expr(f"try_divide(CAST({total} AS double), {count})")
 
 
 def with_seller_history(
@@ -29,16 +29,15 @@ def with_seller_history(
 ) -> DataFrame:
     """Late rate before this order, late rate of the last five orders, seconds since the last order
     and the seller's number of rows in the final dataset: four windows over one shuffle."""
-    in_dataset = F.col("has_customer") & F.col("has_seller")
     with_windows = with_history(
         facts,
         ["seller_id"],
         ORDER,
-        before={"_late": F.col("is_late"), "_orders": F.lit(1)},
-        recent={"_late5": F.col("is_late"), "_orders5": F.lit(1)},
+        before={"_late": "is_late", "_orders": "1"},
+        recent={"_late5": "is_late", "_orders5": "1"},
         recent_rows=5,
-        previous={"_last": F.col(TS)},
-        total={"seller_rows": F.when(in_dataset, F.greatest(F.col("review_count"), F.lit(1))).otherwise(0)},
+        previous={"_last": TS},
+        total={"seller_rows": "CASE WHEN has_customer AND has_seller THEN greatest(review_count, 1) ELSE 0 END"},
         policy=policy,
         at_most=at_most,
     )
@@ -56,7 +55,7 @@ def with_customer_history(
 ) -> DataFrame:
     """The running number of orders of the customer identity, this order included."""
     counted = with_history(
-        facts, ["customer_unique_id"], ORDER, before={"_orders": F.lit(1)}, policy=policy, at_most=at_most
+        facts, ["customer_unique_id"], ORDER, before={"_orders": "1"}, policy=policy, at_most=at_most
     )
     return counted.withColumn("customer_total_orders", F.col("_orders") + 1).drop("_orders")
 
@@ -69,7 +68,7 @@ def with_route_history(
         facts,
         ["seller_state", "customer_state"],
         ORDER,
-        before={"_late": F.col("is_late"), "_orders": F.lit(1)},
+        before={"_late": "is_late", "_orders": "1"},
         policy=policy,
         at_most=at_most,
     )
@@ -98,8 +97,8 @@ def seller_review_history(
         ["seller_id"],
         [*ORDER, "review_id"],
         before={
-            "_score": F.col("review_score"),
-            "_scores": F.when(F.col("review_score").isNotNull(), 1).otherwise(0),
+            "_score": "review_score",
+            "_scores": "CASE WHEN review_score IS NOT NULL THEN 1 ELSE 0 END",
         },
         policy=policy,
         at_most=at_most,
