@@ -1 +1,6 @@
 """Registered queries and their SQL oracles."""
+
+from checks import queries_dataset, queries_features  # noqa: F401
+from checks.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

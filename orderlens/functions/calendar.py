@@ -1,9 +1,7 @@
-"""Calendar expressions over zone-less timestamps."""
+"""Calendar expressions over zone-less timestamps. Arguments are column names or SQL expressions."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,41 +28,31 @@ HOLIDAYS = (
 DAY_NAMES = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
-def _dates(values: tuple[str, ...]) -> list[dt.date]:
-    return [dt.date.fromisoformat(v) for v in values]
-
-
-def weekday(ts: Column) -> Column:
-    """Monday = 0 … Sunday = 6."""
-    return F.weekday(ts)
-
-
-def seconds_between(earlier: Column, later: Column) -> Column:
-    return F.timestamp_diff("SECOND", earlier, later)
-
-
-def whole_days_between(earlier: Column, later: Column) -> Column:
-    """Elapsed whole days, rounded down (a negative part of a day counts as a full day)."""
-    return F.floor(seconds_between(earlier, later) / 86_400)
+def seconds_between(earlier: str, later: str) -> Column:
+    return F.expr(f"timestampdiff(SECOND, {earlier}, {later})")
 
 
-def month_start(ts: Column) -> Column:
-    return F.date_trunc("month", ts).cast("timestamp_ntz")
+def whole_days_between(earlier: str, later: str) -> Column:
+    """Elapsed whole days, rounded down: 10 hours before is -1 day, 14 hours after is 0 days."""
+    return F.expr(f"floor(timestampdiff(SECOND, {earlier}, {later}) / 86400)")
 
 
-def is_black_friday(ts: Column, days: tuple[str, ...] = BLACK_FRIDAYS) -> Column:
-    return F.coalesce(ts.cast("date").isin(_dates(days)), F.lit(False)).cast("int")
+def month_start(ts: str) -> Column:
+    return F.expr(f"CAST(date_trunc('month', {ts}) AS timestamp_ntz)")
 
 
-def is_holiday(ts: Column, days: tuple[str, ...] = HOLIDAYS) -> Column:
-    return F.coalesce(ts.cast("date").isin(_dates(days)), F.lit(False)).cast("int")
+def is_one_of(ts: str, days: tuple[str, ...]) -> Column:
+    """1 where the timestamp falls on one of the days, else 0 (also for an unknown time)."""
+    listed = ", ".join(f"DATE'{d}'" for d in days)
+    return F.expr(f"CASE WHEN CAST({ts} AS date) IN ({listed}) THEN 1 ELSE 0 END")
 
 
-def days_to_nearest_holiday(ts: Column, days: tuple[str, ...] = HOLIDAYS) -> Column:
-    """Calendar days to the closest holiday, before or after."""
-    distances = [F.abs(F.datediff(ts.cast("date"), F.lit(d))) for d in _dates(days)]
-    return F.least(*distances)
+def days_to_nearest(ts: str, days: tuple[str, ...] = HOLIDAYS) -> Column:
+    """Calendar days to the closest of the given days, before or after."""
+    listed = ", ".join(f"DATE'{d}'" for d in days)
+    return F.expr(f"array_min(transform(array({listed}), d -> abs(datediff(CAST({ts} AS date), d))))")
 
 
-def day_name(number: Column) -> Column:
-    return F.try_element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), number.cast("int") + 1)
+def day_name(number: str) -> Column:
+    names = ", ".join(f"'{n}'" for n in DAY_NAMES)
+    return F.expr(f"try_element_at(array({names}), CAST({number} AS int) + 1)")

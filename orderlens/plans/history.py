@@ -45,7 +45,7 @@ def with_seller_history(
         {
             "seller_historical_delay_rate": _rate("_late", "_orders"),
             "seller_recent_delay_rate": _rate("_late5", "_orders5"),
-            "seconds_since_last_seller_order": seconds_between(F.col("_last"), F.col(TS)),
+            "seconds_since_last_seller_order": seconds_between("_last", TS),
         }
     ).drop("_late", "_orders", "_late5", "_orders5", "_last")
 

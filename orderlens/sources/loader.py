@@ -54,16 +54,12 @@ def load_csv_marketplace(
     spark: SparkSession, paths: dict[str, str], empty_numeric: EmptyNumeric = "zero"
 ) -> Marketplace:
     """Load all nine tables; ``paths`` maps table name to file or folder."""
-    return Marketplace(
-        **{n: load_csv_table(spark, paths[n], n, empty_numeric) for n in Marketplace.names()}
-    )
+    return Marketplace(lambda name: load_csv_table(spark, paths[name], name, empty_numeric))
 
 
 def load_parquet_marketplace(spark: SparkSession, folder: str) -> Marketplace:
     """Tables kept as parquet folders named after the table; filters reach these scans."""
-    return Marketplace(
-        **{n: spark.read.schema(SCHEMAS[n]).parquet(f"{folder}/{n}") for n in Marketplace.names()}
-    )
+    return Marketplace(lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}"))
 
 
 def reread_dataset(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -112,9 +112,8 @@ FOREIGN_KEYS: tuple[tuple[str, str, str], ...] = (
 MULTILINE_TABLES = frozenset({"order_reviews"})
 
 
-@dataclass(frozen=True)
 class Marketplace:
-    """The nine source tables as DataFrames."""
+    """The nine source tables as DataFrames; a table is only opened when it is first used."""
 
     geolocation: DataFrame
     customers: DataFrame
@@ -126,9 +125,19 @@ class Marketplace:
     order_reviews: DataFrame
     product_category_name_translation: DataFrame
 
+    def __init__(self, open_table: Callable[[str], DataFrame]) -> None:
+        self._open_table = open_table
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        table = self._open_table(name)
+        setattr(self, name, table)
+        return table
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    @classmethod
-    def names(cls) -> list[str]:
-        return [f.name for f in fields(cls)]
+    @staticmethod
+    def names() -> list[str]:
+        return list(SCHEMAS)

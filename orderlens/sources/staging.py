@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,3 +36,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, label: str, max_rows: int = 100_000) -> DataFrame:
+    """Stage a summary table, then hint a broadcast only if it really has few rows."""
+    kept = staged(df, label)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
