@@ -22,6 +22,12 @@ def zip_centroids(geolocation: DataFrame) -> DataFrame:
     )
 
 
+def _money_sum(column: str) -> Column:
+    """Exact sum of DECIMAL(10,2) amounts as a double. Whole cents add up in a long; a decimal sum would
+    need more digits than fit one and fall back to slow big-number arithmetic."""
+    return F.expr(f"sum(CAST(CAST({column} AS decimal(10,2)) * 100 AS bigint)) / 100D")
+
+
 def item_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
     """Items of known products, one row per order. The 'main' seller and category are the largest text."""
     volume = (
@@ -33,8 +39,8 @@ def item_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
         .groupBy("order_id")
         .agg(
             F.count("order_item_id").alias("total_items"),
-            F.sum("price").cast(DOUBLE).alias("total_price"),
-            F.sum("freight_value").cast(DOUBLE).alias("total_freight"),
+            _money_sum("price").alias("total_price"),
+            _money_sum("freight_value").alias("total_freight"),
             F.max("seller_id").alias("seller_id"),
             F.max("product_category_name").alias("product_category"),
             F.sum("product_weight_g").alias("total_weight_g"),
@@ -49,7 +55,7 @@ def item_summary(order_items: DataFrame, products: DataFrame) -> DataFrame:
 
 def payment_summary(order_payments: DataFrame) -> DataFrame:
     return order_payments.groupBy("order_id").agg(
-        F.sum("payment_value").cast(DOUBLE).alias("total_payment"),
+        _money_sum("payment_value").alias("total_payment"),
         F.max("payment_installments").alias("max_installments"),
         F.max("payment_type").alias("primary_payment_type"),
     )

@@ -33,7 +33,7 @@ def _cents(column: str) -> str:
 
 
 def _money(cents: str) -> str:
-    return f"cast(cast({cents} AS decimal(18,0)) / 100 AS decimal(10,2))"
+    return f"cast(({cents}) / 100D AS decimal(10,2))"
 
 
 _DELIVERED = _plus_seconds(_plus_days("base", "2 + (o_orderkey * 31) % 16"), "(o_orderkey * 104729) % 86400")
@@ -50,13 +50,18 @@ class _Star:
     def _read(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
 
+    def _read_spread(self, name: str) -> DataFrame:
+        """A file with fewer splits than the cluster has cores would be worked on by a few tasks only."""
+        df, cores = self._read(name), self._spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, 8) else df
+
     def _nation(self) -> DataFrame:
         return self._read("nation").selectExpr(
             "n_nationkey", "n_name", f"{_STATE.format(nk='n_nationkey')} AS state"
         )
 
     def _dated(self) -> DataFrame:
-        return self._read("orders").selectExpr(
+        return self._read_spread("orders").selectExpr(
             "o_orderkey", "o_custkey", "o_totalprice", f"{_plus_days('o_orderdate', str(SHIFT_DAYS))} AS base"
         )
 
@@ -129,7 +134,7 @@ class _Star:
 
     def order_items(self) -> DataFrame:
         return (
-            self._read("lineitem")
+            self._read_spread("lineitem")
             .join(self._dated().select("o_orderkey", "base"), F.col("l_orderkey") == F.col("o_orderkey"))
             .selectExpr(
                 "cast(l_orderkey AS string) AS order_id",
