@@ -62,32 +62,35 @@ def _(spark, folder):
     return rounded(fe.log_scale(plain(spark, folder, *columns)))
 
 
-def _prepared(spark, folder):
-    return fe.prepare(analytical_dataset(marketplace_from_star(spark, folder)))
+def _prepared(spark, folder, *columns):
+    inputs = dict.fromkeys(["order_id", *fe.REQUIRED, *columns])
+    return fe.prepare(analytical_dataset(marketplace_from_star(spark, folder), list(inputs)))
 
 
-def _register_prepared(name: str, *columns: str) -> None:
-    listed = ", ".join(f"round({c}, 6) AS {c}" if not c.startswith("is_") and c != "days_to_nearest_holiday" else c
-                       for c in columns)
+def _register_prepared(name: str, columns: tuple[str, ...], *inputs: str) -> None:
+    """``inputs`` are the dataset columns the step needs beyond the required ones."""
+    whole = ("is_", "days_to_nearest_holiday")
+    listed = ", ".join(c if c.startswith(whole) else f"round({c}, 6) AS {c}" for c in columns)
 
     @register(name, f"SELECT order_id, {listed} FROM uncapped", "uncapped")
-    def _(spark, folder, columns=columns):
-        return rounded(_prepared(spark, folder).select("order_id", *columns))
-
-
-_register_prepared("e06_distance_times_backlog", "dist_backlog_ratio")
-_register_prepared("e07_freight_per_gram", "freight_per_gram")
-_register_prepared("e08_required_velocity", "required_velocity")
-_register_prepared("e09_buffer_ratio", "buffer_to_lead_ratio")
-_register_prepared("e10_route_risk", "route_risk_score")
-_register_prepared("e11_hub_flags", "is_hub_delivery", "is_hub_exit")
-_register_prepared("e12_seller_stress", "seller_stress_ratio")
-_register_prepared("e15_tight_holiday_risk", "tight_schedule_holiday_risk")
-_register_prepared("e16_cleaned_columns", "freight_ratio", "dist_backlog_ratio", "required_velocity")
+    def _(spark, folder):
+        return rounded(_prepared(spark, folder, *inputs).select("order_id", *columns))
+
+
+_register_prepared("e06_distance_times_backlog", ("dist_backlog_ratio",))
+_register_prepared("e07_freight_per_gram", ("freight_per_gram",))
+_register_prepared("e08_required_velocity", ("required_velocity",))
+_register_prepared("e09_buffer_ratio", ("buffer_to_lead_ratio",), "seller_shipping_buffer_days")
+_register_prepared("e10_route_risk", ("route_risk_score",), "route_delay_rate")
+_register_prepared("e11_hub_flags", ("is_hub_delivery", "is_hub_exit"), "seller_state", "customer_state")
+_register_prepared("e12_seller_stress", ("seller_stress_ratio",), "seller_intensity_score")
+_register_prepared("e15_tight_holiday_risk", ("tight_schedule_holiday_risk",))
 _register_prepared(
-    "e19_filled_numbers", "seller_historical_delay_rate", "seller_avg_review_score", "route_delay_rate",
-    "avg_product_photos", "is_late",
+    "e16_cleaned_columns", ("freight_ratio", "dist_backlog_ratio", "required_velocity", "total_payment"),
+    "freight_ratio", "total_payment",
 )
+_FILLED = ("seller_historical_delay_rate", "seller_avg_review_score", "route_delay_rate", "avg_product_photos")
+_register_prepared("e19_filled_numbers", (*_FILLED, "is_late"), *_FILLED, "is_late")
 
 
 @register(
@@ -121,7 +124,7 @@ def _(spark, folder):
     "uncapped",
 )
 def _(spark, folder):
-    capped = fe.cap(_prepared(spark, folder), {"total_price": 150000.0, "required_velocity": 0.25, "unused": 1.0})
+    capped = fe.cap(_prepared(spark, folder, "total_price"), {"total_price": 150000.0, "required_velocity": 0.25, "unused": 1.0})
     return rounded(capped.select("order_id", "total_price", "required_velocity"), **MONEY)
 
 

@@ -32,7 +32,7 @@ class SkewPolicy:
 
 
 DEFAULT_POLICY = SkewPolicy()
-_PART, _LO, _HI = "_part", "_lo", "_hi"
+_PART, _BLOCK, _LO, _HI = "_part", "_block", "_lo", "_hi"
 _SPREAD = 4096
 
 
@@ -73,12 +73,18 @@ def find_cuts(
         .unionByName(sizes.select(*key), allowMissingColumns=True)
     )
     by_start = Window.partitionBy(*key).orderBy(F.col(_LO).asc_nulls_first())
-    cuts = starts.select(
+    numbered = starts.select(
         *key,
         _LO,
         F.lead(_LO).over(by_start).alias(_HI),
         (F.row_number().over(by_start) - 1).alias(_PART),
     )
+    # Parts come in blocks of about the square root of their number, so a row is compared with
+    # the blocks of its key and then with the parts of one block, not with every part.
+    of_key = ", ".join(f"`{k}`" for k in key)
+    cuts = numbered.selectExpr(
+        "*", f"CAST(floor({_PART} / ceil(sqrt(count(1) OVER (PARTITION BY {of_key})))) AS int) AS {_BLOCK}"
+    )
     return staged(cuts, "cuts")
 
 
@@ -90,15 +96,24 @@ def _known(key: Sequence[str]) -> str:
     return " AND ".join(f"`{k}` IS NOT NULL" for k in key)
 
 
-def _assign_parts(df: DataFrame, key: Sequence[str], order: Sequence[str], cuts: DataFrame, how: str) -> DataFrame:
+def _within(df: DataFrame, intervals: DataFrame, key: Sequence[str], order: Sequence[str], add: str, how: str) -> DataFrame:
+    """Join every row to the one interval of its key that holds it; ``add`` is the interval's number."""
     same_key = " AND ".join(f"r.`{k}` = c.`{k}`" for k in key)
     at = f"struct({_names(order, 'r.')})"
     inside = f"(c.{_LO} IS NULL OR {at} >= c.{_LO}) AND (c.{_HI} IS NULL OR {at} < c.{_HI})"
     return (
         df.alias("r")
-        .join(F.broadcast(cuts.alias("c")), F.expr(f"{same_key} AND {inside}"), how)
-        .selectExpr("r.*", f"c.{_PART}")
+        .join(F.broadcast(intervals.alias("c")), F.expr(f"{same_key} AND {inside}"), how)
+        .selectExpr("r.*", f"c.{add}")
+    )
+
+
+def _assign_parts(df: DataFrame, key: Sequence[str], order: Sequence[str], cuts: DataFrame, how: str) -> DataFrame:
+    blocks = cuts.groupBy(*key, _BLOCK).agg(
+        F.min_by(_LO, _PART).alias(_LO), F.max_by(_HI, _PART).alias(_HI)
     )
+    in_block = _within(df, blocks, key, order, _BLOCK, how)
+    return _within(in_block, cuts, [*key, _BLOCK], order, _PART, how).drop(_BLOCK)
 
 
 def with_history(

@@ -82,7 +82,9 @@ def sample_rows(
     """Exactly ``round(fraction * rows)`` rows, the same ones on every run."""
     if fraction >= 1.0:
         return df
-    ranked = _hash_rank(df.withColumn("_all", F.lit(0)), ["_all"], row_key, seed, policy, total={"_rows": "1"})
+    # One group for all rows. A literal would be folded away and turn the cut lookup into a nested loop.
+    everything = df.withColumn("_all", F.expr(f"length(md5(coalesce(CAST(`{row_key[0]}` AS string), '')))"))
+    ranked = _hash_rank(everything, ["_all"], row_key, seed, policy, total={"_rows": "1"})
     return ranked.where(f"_rank < bround({fraction!r}D * _rows)").drop("_all", "_rank", "_rows")
 
 
