@@ -113,7 +113,7 @@ _CAPS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, round(cap_{c}, 4) AS t
 
 @register("e17_fitted_thresholds", _CAPS, "caps")
 def _(spark, folder):
-    found = fe.fit_thresholds(fe.prepare(dataset(spark, folder)))
+    found = fe.fit_thresholds(_prepared(spark, folder, "total_price", "freight_ratio", "total_payment"))
     return spark.createDataFrame([(k, round(v, 4)) for k, v in found.items()], "column_name string, threshold double")
 
 

@@ -168,7 +168,9 @@ def _(spark, folder):
     "features",
 )
 def _(spark, folder):
-    found = fe.fit_thresholds(features(spark, folder))
+    inputs = dict.fromkeys([*fe.REQUIRED, "total_price", "freight_ratio", "total_payment"])
+    stored = staged(analytical_dataset(marketplace_from_star(spark, folder), list(inputs)), "analytical")
+    found = fe.fit_thresholds(fe.build_features(stored))
     return spark.createDataFrame([(k, round(v, 4)) for k, v in found.items()], "column_name string, threshold double")
 
 

@@ -1,9 +1,10 @@
 """How many rows of a key fall in the days before each row.
 
-Rows are first counted per key and instant, which shrinks a hot key to at most one row per second.
-Time is then cut into buckets as long as the look-back; each count is also copied into the following
-bucket, so a bucket sees everything its own rows can look back to. No task holds more than two
-buckets of one key, whatever the key's share of the data.
+A sliding range frame would add up its whole content again for every row, which grows with the square
+of the traffic of a busy key. Here rows are counted per key and instant, and the answer for an instant
+is a difference of two running counts: rows up to one second before it, minus rows before the look-back
+begins. Both are read off one running sum over the instants and the points asked about, and busy keys
+are cut into parts (see ``ordered``), so the work grows with the number of instants only.
 """
 
 from __future__ import annotations
@@ -11,33 +12,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SECOND = 1_000_000
-_DAY = 86_400 * _SECOND
+from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
+from orderlens.sources.staging import staged
 
 
-def with_backlog(df: DataFrame, key: str, ts: str, days: int, name: str) -> DataFrame:
+def with_backlog(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    days: int,
+    name: str,
+    policy: SkewPolicy = DEFAULT_POLICY,
+    at_most: int | None = None,
+) -> DataFrame:
     """Add ``name``: rows of the same key from ``days`` days up to one second before the row's time.
 
-    Rows with a NULL key or time get NULL.
+    Rows with a NULL key or time get NULL. ``at_most`` bounds the rows of ``df`` where known.
     """
-    width = days * _DAY
-    micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)"
     counts = (
         df.where(f"`{key}` IS NOT NULL AND `{ts}` IS NOT NULL")
-        .groupBy(key, ts)
+        .groupBy(F.col(key).alias("_key"), F.col(ts).alias("_asked"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .selectExpr("*", f"{micros} AS _t", f"floor({micros} / {width}) AS _bucket")
     )
-    backlog = (
-        counts.selectExpr("*", "explode(array(_bucket, _bucket + 1)) AS _in")
-        .selectExpr(
-            f"`{key}`",
-            f"`{ts}`",
-            f"coalesce(sum(_n) OVER (PARTITION BY `{key}`, _in ORDER BY _t "
-            f"RANGE BETWEEN {width} PRECEDING AND {_SECOND} PRECEDING), 0L) AS `{name}`",
-            "_in = _bucket AS _own",
-        )
-        .where("_own")
-        .drop("_own")
+    if at_most is None:
+        counts = staged(counts, "instants")
+        at_most = counts.count()
+    # At one and the same time: first the start of a look-back, then the rows, then its end.
+    points = counts.selectExpr(
+        "_key",
+        "_asked",
+        "inline(array("
+        f"struct(_asked - INTERVAL '{days}' DAY AS _time, 0 AS _kind, 0L AS _rows), "
+        "struct(_asked AS _time, 1 AS _kind, _n AS _rows), "
+        "struct(_asked - INTERVAL '1' SECOND AS _time, 2 AS _kind, 0L AS _rows)))",
     )
-    return df.join(backlog, [key, ts], "left").select(*df.columns, name)
+    running = with_history(
+        points, ["_key"], ["_time", "_kind"], before={"_seen": "_rows"}, policy=policy, at_most=3 * at_most
+    )
+    backlog = running.groupBy("_key", "_asked").agg(
+        F.expr("sum(CASE _kind WHEN 2 THEN _seen WHEN 0 THEN -_seen ELSE 0L END)").alias(name)
+    )
+    same = (F.col(key) == F.col("_key")) & (F.col(ts) == F.col("_asked"))
+    return df.join(backlog, same, "left").select(*df.columns, name)

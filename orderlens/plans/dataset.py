@@ -162,9 +162,9 @@ def _order_histories(facts: DataFrame, histories: set[str], policy: SkewPolicy,
     if "route" in histories:
         slim = history.with_route_history(slim, policy, at_most)
     if "seller_backlog" in histories:
-        slim = history.with_seller_state_backlog(slim)
+        slim = history.with_seller_state_backlog(slim, policy, at_most)
     if "customer_backlog" in histories:
-        slim = history.with_customer_state_backlog(slim)
+        slim = history.with_customer_state_backlog(slim, policy, at_most)
     return slim.where("has_customer AND has_seller").drop(*inputs)
 
 

@@ -75,12 +75,16 @@ def with_route_history(
     return rated.withColumn("route_delay_rate", _rate("_late", "_orders")).drop("_late", "_orders")
 
 
-def with_seller_state_backlog(facts: DataFrame) -> DataFrame:
-    return with_backlog(facts, "seller_state", TS, 7, "seller_state_backlog")
+def with_seller_state_backlog(
+    facts: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, at_most: int | None = None
+) -> DataFrame:
+    return with_backlog(facts, "seller_state", TS, 7, "seller_state_backlog", policy, at_most)
 
 
-def with_customer_state_backlog(facts: DataFrame) -> DataFrame:
-    return with_backlog(facts, "customer_state", TS, 3, "customer_state_backlog")
+def with_customer_state_backlog(
+    facts: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, at_most: int | None = None
+) -> DataFrame:
+    return with_backlog(facts, "customer_state", TS, 3, "customer_state_backlog", policy, at_most)
 
 
 def seller_review_history(

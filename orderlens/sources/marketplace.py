@@ -6,6 +6,8 @@ them; ``checks/oracle.py`` states the same rules in SQL.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,14 +43,28 @@ _ESTIMATED = _plus_days("base", "12 + (o_custkey * 13 + o_orderkey * 7) % 20")
 _BOUGHT = _plus_seconds("base", "(o_orderkey * 7919) % 86400")
 
 
+# Columns used of each star file.
+_FILES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_tax double",
+}
+
+
 class _Star:
     """The star schema's files and, one method each, the tables derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._spark, self._folder = spark, folder
+        self._read = cache(self._read)
+        self._read_spread = cache(self._read_spread)
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._spark.read.schema(_FILES[name]).parquet(f"{self._folder}/{name}.parquet")
 
     def _read_spread(self, name: str) -> DataFrame:
         """A file with fewer splits than the cluster has cores would be worked on by a few tasks only."""

@@ -1,7 +1,9 @@
 import numpy as np
 import pandas as pd
+import pytest
 
 from orderlens.operators.backlog import with_backlog
+from orderlens.operators.ordered import SkewPolicy
 from tests.conftest import at
 
 
@@ -26,7 +28,8 @@ def test_frame_ends_are_inclusive(spark):
     assert out[7] is None
 
 
-def test_equals_plain_window(spark):
+@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(100, 1.0)], ids=["plain", "cut"])
+def test_equals_plain_window(spark, policy):
     rng = np.random.default_rng(1)
     start = pd.Timestamp("2017-01-01")
     rows = [
@@ -40,5 +43,11 @@ def test_equals_plain_window(spark):
         "count(id) OVER (PARTITION BY state ORDER BY ts RANGE BETWEEN INTERVAL '3 00:00:00' DAY TO SECOND PRECEDING "
         "AND INTERVAL '0 00:00:01' DAY TO SECOND PRECEDING) AS n",
     )
-    bucketed = with_backlog(df, "state", "ts", 3, "n").select("id", "n")
+    bucketed = with_backlog(df, "state", "ts", 3, "n", policy).select("id", "n")
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
+
+
+def test_fractions_of_a_second_before_do_not_count(spark):
+    rows = [(1, "A", at("2018-01-01 00:00:00.500")), (2, "A", at("2018-01-01 00:00:01.000")), (3, "A", at("2018-01-01 00:00:01.500"))]
+    out = {r["id"]: r["n"] for r in with_backlog(_frame(spark, rows), "state", "ts", 7, "n").collect()}
+    assert out == {1: 0, 2: 0, 3: 1}
