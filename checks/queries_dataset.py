@@ -394,6 +394,12 @@ def _(spark, folder):
 
 
 # ---------------------------------------------------------------- histories
+def _stored_facts(t, parts, condition):
+    """Order facts as the dataset build stores them, with their number of rows."""
+    stored = staged(facts.order_facts(t, parts).where(condition), "order-facts")
+    return stored, stored.count()
+
+
 @register(
     "w01_seller_review_average",
     "SELECT order_id, review_id, seller_id, round(seller_avg_review_score, 6) AS seller_avg_review_score FROM h_review",
@@ -401,23 +407,19 @@ def _(spark, folder):
 )
 def _(spark, folder):
     t = marketplace_from_star(spark, folder)
-    scores = history.seller_review_history(facts.order_facts(t, {"items", "reviews"}), t.order_reviews)
-    return rounded(scores.drop("review_count"))
-
-
-def _seller_history(spark, folder):
-    t = marketplace_from_star(spark, folder)
-    df = facts.order_facts(t, {"items"}).where("seller_id IS NOT NULL")
-    df = df.selectExpr("*", "0L AS review_count", "true AS has_customer", "true AS has_seller")
-    return rounded(history.with_seller_history(df))
+    orders, _ = _stored_facts(t, {"items", "reviews"}, "seller_id IS NOT NULL")
+    rows = orders.agg(F.sum(F.greatest("review_count", F.lit(1)))).first()[0]
+    return rounded(history.seller_review_history(orders, t.order_reviews, at_most=rows).drop("review_count"))
 
 
 def _register_seller_window(name: str, column: str) -> None:
     value = column if column.startswith("seconds") else f"round({column}, 6)"
 
     @register(name, f"SELECT order_id, seller_id, {value} AS {column} FROM h_seller", "h_seller")
-    def _(spark, folder, column=column):
-        return _seller_history(spark, folder).select("order_id", "seller_id", column)
+    def _(spark, folder):
+        orders, rows = _stored_facts(marketplace_from_star(spark, folder), {"items"}, "seller_id IS NOT NULL")
+        df = orders.selectExpr("*", "0L AS review_count", "true AS has_customer", "true AS has_seller")
+        return rounded(history.with_seller_history(df, at_most=rows).select("order_id", "seller_id", column))
 
 
 _register_seller_window("w02_seller_delay_rate", "seller_historical_delay_rate")
@@ -427,8 +429,8 @@ _register_seller_window("w05_seller_recent_delay_rate", "seller_recent_delay_rat
 
 @register("w04_customer_orders", "SELECT order_id, customer_total_orders FROM h_customer", "h_customer")
 def _(spark, folder):
-    df = facts.order_facts(marketplace_from_star(spark, folder), {"customers"}).where("has_customer")
-    return history.with_customer_history(df).select("order_id", "customer_total_orders")
+    orders, rows = _stored_facts(marketplace_from_star(spark, folder), {"customers"}, "has_customer")
+    return history.with_customer_history(orders, at_most=rows).select("order_id", "customer_total_orders")
 
 
 @register(
@@ -437,8 +439,9 @@ def _(spark, folder):
     "h_seller_backlog",
 )
 def _(spark, folder):
-    df = facts.order_facts(marketplace_from_star(spark, folder), {"items", "sellers"}).where("has_seller")
-    return history.with_seller_state_backlog(df).select("order_id", "seller_state", "seller_state_backlog")
+    orders, rows = _stored_facts(marketplace_from_star(spark, folder), {"items", "sellers"}, "has_seller")
+    df = history.with_seller_state_backlog(orders, at_most=rows)
+    return df.select("order_id", "seller_state", "seller_state_backlog")
 
 
 @register(
@@ -447,8 +450,9 @@ def _(spark, folder):
     "h_customer_backlog",
 )
 def _(spark, folder):
-    df = facts.order_facts(marketplace_from_star(spark, folder), {"customers"}).where("has_customer")
-    return history.with_customer_state_backlog(df).select("order_id", "customer_state", "customer_state_backlog")
+    orders, rows = _stored_facts(marketplace_from_star(spark, folder), {"customers"}, "has_customer")
+    df = history.with_customer_state_backlog(orders, at_most=rows)
+    return df.select("order_id", "customer_state", "customer_state_backlog")
 
 
 @register(
@@ -457,8 +461,9 @@ def _(spark, folder):
     "h_route",
 )
 def _(spark, folder):
-    df = facts.order_facts(marketplace_from_star(spark, folder), {"items", "sellers", "customers"})
-    routed = history.with_route_history(df.where("has_customer AND has_seller"))
+    parts = {"items", "sellers", "customers"}
+    orders, rows = _stored_facts(marketplace_from_star(spark, folder), parts, "has_customer AND has_seller")
+    routed = history.with_route_history(orders, at_most=rows)
     return rounded(routed.select("order_id", "seller_state", "customer_state", "route_delay_rate"))
 
 
