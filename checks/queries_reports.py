@@ -82,6 +82,40 @@ def _(spark, folder):
     return _density(_data(spark, folder, "distance_km", "is_late"), "distance_km")
 
 
+def _curve_sql(column: str, source: str) -> str:
+    return f"""SELECT '{column}' AS column_name, CAST(g.point AS INTEGER) AS point,
+           round(lo + (hi - lo) * g.point / 199, 4) AS x,
+           round(sum(exp(-0.5 * pow((lo + (hi - lo) * g.point / 199 - d.{column}) / h, 2)))
+               / (max(n) * max(h) * sqrt(2 * pi())), 9) AS density
+       FROM (SELECT count(*) AS n, min({column}) AS lo, max({column}) AS hi,
+                 pow(count(*), -0.2) * stddev_samp({column}) AS h FROM {source} WHERE {column} IS NOT NULL) k,
+           {source} d, (SELECT unnest(range(0, 200)) AS point) g
+       WHERE d.{column} IS NOT NULL GROUP BY g.point, lo, hi, h"""
+
+
+def _curve(df, column):
+    return rounded(rp.density_over_histogram(df, column).withColumnRenamed("column", "column_name"), x=4, density=9)
+
+
+@register("a05_purchase_hour_density", _curve_sql("purchase_hour", "plain_dataset"), "plain_dataset")
+def _(spark, folder):
+    return _curve(_data(spark, folder, "purchase_hour"), "purchase_hour")
+
+
+@register(
+    "a16_estimate_error_density",
+    f"""SELECT * FROM (WITH src AS (SELECT coalesce(floor(date_diff('second', order_estimated_delivery_date,
+            order_delivered_customer_date) / 86400.0), 0)::DOUBLE AS days_diff
+            FROM plain_dataset JOIN shop_orders USING (order_id))
+        {_curve_sql('days_diff', 'src')})""",
+    "plain_dataset",
+    "shop_orders",
+)
+def _(spark, folder):
+    t = marketplace_from_star(spark, folder)
+    return _curve(rp.estimate_errors(analytical_dataset(t, ["order_id"]), t.orders), "days_diff")
+
+
 @register("a05_purchase_hours", "SELECT purchase_hour, count(*) AS rows FROM plain_dataset GROUP BY 1", "plain_dataset")
 def _(spark, folder):
     return rp.purchase_hours(_data(spark, folder, "purchase_hour"))

@@ -123,8 +123,8 @@ def box_stats(counts: DataFrame, by: Sequence[str] = (), policy: SkewPolicy = DE
     )
 
 
-def density(counts: DataFrame, by: Sequence[str] = (), points: int = 200) -> DataFrame:
-    """Gaussian kernel density on an even grid reaching three bandwidths beyond the data.
+def density(counts: DataFrame, by: Sequence[str] = (), points: int = 200, reach: float = 3.0) -> DataFrame:
+    """Gaussian kernel density on an even grid reaching ``reach`` bandwidths beyond the data.
 
     The bandwidth is ``n^(-1/5)`` times the sample standard deviation and each group integrates to 1.
     Every value is spread onto the grid and summed where it is read, so the shuffle carries grid
@@ -144,7 +144,7 @@ def density(counts: DataFrame, by: Sequence[str] = (), points: int = 200) -> Dat
         ),
         "kernels",
     )
-    grid = f"(_min - 3 * _h) + (_max - _min + 6 * _h) * point / {points - 1}"
+    grid = f"(_min - {reach!r}D * _h) + (_max - _min + {2 * reach!r}D * _h) * point / {points - 1}"
     scale = 1.0 / math.sqrt(2.0 * math.pi)
     return (
         counts.join(kernels, key)

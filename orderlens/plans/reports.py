@@ -106,6 +106,11 @@ def density_by_label(df: DataFrame, column: str, points: int = 200) -> DataFrame
     return dist.density(counts, by=["is_late"], points=points)
 
 
+def density_over_histogram(df: DataFrame, column: str, points: int = 200) -> DataFrame:
+    """The curve drawn over a histogram: it ends where the data ends."""
+    return dist.density(dist.value_counts(df, [column]), points=points, reach=0.0)
+
+
 def purchase_hours(df: DataFrame) -> DataFrame:
     return _known(df, "purchase_hour").groupBy("purchase_hour").agg(F.count(F.lit(1)).alias("rows"))
 
