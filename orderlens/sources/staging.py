@@ -1,29 +1,32 @@
 """Tables written part-way through a job.
 
 A staged table cuts lineage, is read back with column pruning, and survives the loss of an
-executor because it lives in the shared folder the cluster names in ``spark.checkpoint.dir``.
-Only where that setting is missing (unit tests) is a folder of our own chosen.
+executor because it lives in a folder that driver and executors share: the one the cluster names in
+``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse. A cluster whose
+warehouse is a plain local path and which names no other folder gets an error, not a partial result.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_OPEN: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    folder = tempfile.mkdtemp(prefix="orderlens-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not local and (warehouse.startswith(("file:", "/"))):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_staged"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -35,9 +38,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system it lives in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was staged inside; store the result before that."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            remove_path(spark, path)
+
+
 def broadcast_if_small(df: DataFrame, label: str, max_rows: int = 100_000) -> DataFrame:
     """Stage a summary table, then hint a broadcast only if it really has few rows."""
     kept = staged(df, label)
