@@ -18,6 +18,7 @@ from orderlens.llm import (
     packing,
     quality,
     simhash,
+    suffix_dedup,
     url_filter,
 )
 from orderlens.llm.common import table
@@ -59,6 +60,10 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
