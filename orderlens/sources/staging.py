@@ -33,14 +33,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/orderlens/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once and continue from the stored copy."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     if _OPEN:
         _OPEN[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.staged_path = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables before the job ends; whatever was made of them must be staged itself."""
+    for kept in tables:
+        remove_path(kept.sparkSession, kept.staged_path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
