@@ -31,7 +31,7 @@ def bounded_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Stage ``df``, then let Spark drop the shuffle files that only its lineage used."""
-    kept = staged(df, label)
+    kept = staged(df, label, "zstd")
     release(df.sparkSession)
     return kept
 

@@ -3,7 +3,7 @@
 A byte goes if a string of ``width`` bytes that covers it also starts in a document with a smaller id. Sorting every
 suffix would multiply the corpus by the width, so the work narrows in exact steps:
 
-1. Anchors. In each window of ``width`` bytes one position is chosen by its next 16 bytes alone (a minimizer), so two
+1. Anchors. In each window of ``width`` bytes one position is chosen by its next 24 bytes alone (a minimizer), so two
    equal windows hold the same anchor. Each batch of documents sends its distinct anchor hashes once; hashes that
    two documents have survive. Equal strings have equal hashes: nothing is lost here.
 2. Interior. The context of an anchor (all bytes that a window around it can reach) is named by two hashes of 64
@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import parts_for, settle, utf8
+from orderlens.sources.staging import discard
 
 WIDTH = 50
-GRAM = 16
+GRAM = 24
 BATCH_BYTES = 4 << 20
 MOST_CONTEXTS = 20_000
 
@@ -83,7 +84,14 @@ def anchors(raw: np.ndarray, at: np.ndarray, width: int, gram: int = GRAM) -> tu
     span = width - gram + 1
     if len(raw) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    grams = _mix(_doubling(raw, gram, _POW1)[-1])
+    table = _doubling(raw, gram, _POW1)
+    grams = table[-1]
+    have = 1 << (len(table) - 1)
+    for k in range(len(table) - 2, -1, -1):  # a gram is put together from pieces of 2**k bytes
+        if gram - have >= 1 << k:
+            grams = grams[: len(raw) - have - (1 << k) + 1] * _POW1[k] + table[k][have : len(raw) - (1 << k) + 1]
+            have += 1 << k
+    grams = _mix(grams)
     value = (grams >> np.uint64(33)).astype(np.uint32) + np.uint32(1)
     least = _slide(value, span, np.minimum)  # one for each window of width bytes
     # Windows that run from one document into the next do not count.
@@ -197,7 +205,10 @@ def _batch(docs: pa.Table, width: int, keep) -> tuple:
 
 
 def _survivors(width: int):
-    """Anchors of a batch whose hash is shared: (h, x, b, doc, place in the document, left, right)."""
+    """Anchors of a batch whose hash is shared: (h, x, b, doc, spot).
+
+    spot holds the place in the document and, a byte each, how many bytes before and from there count.
+    """
 
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
         known = [np.frombuffer(b, np.uint64) for b in shared.column("h").to_pylist()]
@@ -205,8 +216,8 @@ def _survivors(width: int):
         raw, at, h, x, doc, row, place, left, right = _batch(docs, width, lambda found: np.isin(found, known))
         batch = docs.column("_b")[0].as_py() if docs.num_rows else 0
         return pa.table({
-            "h": h, "x": x, "b": pa.array(np.full(len(h), batch, np.int32)), "doc": doc, "place": place - at[row],
-            "left": left.astype(np.int32), "right": right.astype(np.int32),
+            "h": h, "x": x, "b": pa.array(np.full(len(h), batch, np.int32)), "doc": doc,
+            "spot": ((place - at[row]) << 16) | (left << 8) | right,
         })
 
     return run
@@ -359,6 +370,8 @@ def _hot_windows(width: int):
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """(doc, spans): each document's stretches of bytes to remove, flat [from, to, from, to, …], merged and in order."""
+    if not GRAM < width < 256:
+        raise ValueError(f"width must lie between {GRAM} and 256")
     spark = docs.sparkSession
     dealt, total = _batches_by_key(docs, id_col, text_col)
     reach = width - GRAM
@@ -368,9 +381,10 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         _send_anchors(width, buckets), "bucket int, batch int, h binary, several binary"
     )
     shared = settle(sent.groupBy("bucket").applyInArrow(_shared, "_b int, h binary"), "shared")
-    schema = "h long, x long, b int, doc long, place long, left int, right int"
+    schema = "h long, x long, b int, doc long, spot long"
     both = dealt.groupBy("_b").cogroup(shared.groupBy("_b"))
     seen = settle(both.applyInArrow(_survivors(width), schema), "anchors")
+    discard(shared)
     # One row for each anchor and context: its smallest document and where its bytes are.
     least = F.min(F.struct("doc", "b")).alias("m")
     kinds = settle(seen.groupBy("h", "x").agg(least).select("h", "x", "m.doc", F.col("m.b").alias("_b")), "contexts")
@@ -380,6 +394,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     both = dealt.groupBy("_b").cogroup(wanted.groupBy("_b"))
     schema = "h long, x long, doc long, context binary, left int, right int"
     found = settle(both.applyInArrow(_contexts(width), schema), "edges")
+    discard(wanted)
     usual = found.join(open_.where(F.col("kinds") <= MOST_CONTEXTS).select("h"), "h", "left_semi")
     ranged = usual.repartitionByRange(n, F.substring("context", reach + 1, GRAM))
     stretch = ranged.mapInArrow(_compare_ranges(width), "h long, x long, low int, high int")
@@ -398,16 +413,20 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
             )
         )
     stretch = settle(stretch, "stretches")
+    discard(found, open_)
     firsts = kinds.select("h", "x", F.col("doc").alias("least")).join(stretch, ["h", "x"], "left")
-    all_ = seen.select("h", "x", "doc", "place", "left", "right").join(firsts, ["h", "x"])
-    whole = (F.col("doc") > F.col("least")) & (F.col("left") + F.col("right") >= width)
-    spans = all_.select(
+    met = seen.select("h", "x", "doc", "spot").join(firsts, ["h", "x"])
+    place, left, right = F.shiftright("spot", 16), F.shiftright("spot", 8).bitwiseAND(255), F.col("spot").bitwiseAND(255)
+    whole = (F.col("doc") > F.col("least")) & (left + right >= width)
+    spans = met.select(
         "doc",
-        (F.col("place") + F.when(whole, -F.col("left")).otherwise(F.col("low"))).alias("a"),
-        (F.col("place") + F.when(whole, F.col("right")).otherwise(F.col("high"))).alias("b"),
+        (place + F.when(whole, -left).otherwise(F.col("low"))).alias("a"),
+        (place + F.when(whole, right).otherwise(F.col("high"))).alias("b"),
     ).where("a IS NOT NULL AND b IS NOT NULL")
     merged = spans.groupBy("doc").applyInArrow(_merge, "doc long, spans binary")
-    return settle(merged, "spans")
+    merged = settle(merged, "spans")
+    discard(seen, kinds, stretch)
+    return merged
 
 
 def _merge(table: pa.Table) -> pa.Table:
