@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,10 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
+    """Collect what the driver no longer refers to and give Spark's cleaner a moment to delete it on the executors."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
 
 
 def parts_for(spark: SparkSession, n_bytes: int, each: int = 8 << 20) -> int:

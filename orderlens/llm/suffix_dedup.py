@@ -3,6 +3,7 @@
 A byte goes if a string of ``width`` bytes that covers it also starts in a document with a smaller id. Sorting every
 suffix would multiply the corpus by the width, so the work narrows in exact steps:
 
+0. Copies. A whole text that a smaller id has too goes as a whole; only the first document of equal texts goes on.
 1. Anchors. In each window of ``width`` bytes one position is chosen by its next 24 bytes alone (a minimizer), so two
    equal windows hold the same anchor. Each batch of documents sends its distinct anchor hashes once; hashes that
    two documents have survive. Equal strings have equal hashes: nothing is lost here.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import parts_for, settle, utf8
-from orderlens.sources.staging import discard
+from orderlens.sources.staging import broadcast_if_small, discard
 
 WIDTH = 50
 GRAM = 24
@@ -120,12 +121,25 @@ def _context_hash(raw: np.ndarray, place: np.ndarray, left: np.ndarray, right: n
     return _mix(h)
 
 
-def _batches_by_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(_b, _id, _raw): documents dealt by a hash of their id into batches of about BATCH_BYTES."""
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_raw"))
-    total = rows.agg(F.sum(F.octet_length("_raw"))).first()[0] or 0
+def _batches_by_key(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
+    """Documents (_b, _id, _raw) dealt by a hash of their id into batches of about BATCH_BYTES, copies left out; the
+    copies (doc, n_bytes), whole texts that a smaller id has too; and all bytes."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_id"), text.cast("binary").alias("_raw"),
+        F.octet_length(text).alias("_n"), F.sha2(text, 256).alias("_sha"),
+    )
+    kinds = rows.groupBy("_n", "_sha").agg(F.min("_id").alias("_least"), F.count("*").alias("_rows"))
+    kinds = settle(kinds, "texts")
+    total = kinds.agg(F.sum("_n")).first()[0] or 0
+    several = broadcast_if_small(kinds.where("_rows > 1").select("_n", "_sha", "_least"), "copies")
+    marked = rows.join(several, ["_n", "_sha"], "left")
+    copies = marked.where("_id > _least").select(F.col("_id").alias("doc"), F.col("_n").alias("n_bytes"))
     n = max(1, -(-int(total) // BATCH_BYTES))
-    return rows.withColumn("_b", F.pmod(F.xxhash64("_id", F.octet_length("_raw")), F.lit(n)).cast("int")), int(total)
+    batch = F.pmod(F.xxhash64("_id", "_n"), F.lit(n)).cast("int")
+    firsts = marked.where("_least IS NULL OR _id <= _least").select(batch.alias("_b"), "_id", "_raw")
+    discard(kinds)
+    return firsts, copies, int(total)
 
 
 def _binary(arrays) -> pa.Array:
@@ -373,7 +387,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     if not GRAM < width < 256:
         raise ValueError(f"width must lie between {GRAM} and 256")
     spark = docs.sparkSession
-    dealt, total = _batches_by_key(docs, id_col, text_col)
+    dealt, copies, total = _batches_by_key(docs, id_col, text_col)
     reach = width - GRAM
     n = parts_for(spark, total)
     buckets = max(1, -(-total // (16 << 20)))
@@ -423,7 +437,8 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
         (place + F.when(whole, -left).otherwise(F.col("low"))).alias("a"),
         (place + F.when(whole, right).otherwise(F.col("high"))).alias("b"),
     ).where("a IS NOT NULL AND b IS NOT NULL")
-    merged = spans.groupBy("doc").applyInArrow(_merge, "doc long, spans binary")
+    gone = copies.where(F.col("n_bytes") >= width).selectExpr("doc", "0L AS a", "CAST(n_bytes AS long) AS b")
+    merged = spans.unionByName(gone).groupBy("doc").applyInArrow(_merge, "doc long, spans binary")
     merged = settle(merged, "spans")
     discard(seen, kinds, stretch)
     return merged
