@@ -104,8 +104,7 @@ def _(spark, folder):
 
 @register("e14_holiday_season", "SELECT order_id, is_holiday_season FROM uncapped", "uncapped")
 def _(spark, folder):
-    near = fe.with_calendar(plain(spark, folder, TS))
-    return near.selectExpr("order_id", "CASE WHEN _holiday_distance <= 7 THEN 1 ELSE 0 END AS is_holiday_season")
+    return fe.prepare(dataset(spark, folder)).select("order_id", "is_holiday_season")
 
 
 _CAPS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, round(cap_{c}, 4) AS threshold FROM caps" for c in CAPPED)

@@ -196,6 +196,7 @@ def _(spark, folder):
            CASE preset WHEN 'Standard Local' THEN 'SP' WHEN 'Long Distance' THEN 'RN' ELSE customer_state END AS customer_state,
            CASE preset WHEN 'Holiday Rush' THEN seller_state ELSE 'SP' END AS seller_state,
            CASE preset WHEN 'Standard Local' THEN 0.5 WHEN 'Holiday Rush' THEN 4.5 ELSE 1.0 END::DOUBLE AS seller_state_backlog,
+           CASE preset WHEN 'Standard Local' THEN 0.5 WHEN 'Holiday Rush' THEN 4.5 ELSE 1.0 END::DOUBLE AS seller_intensity_score,
            CASE preset WHEN 'Holiday Rush' THEN 0.15 ELSE 0.05 END::DOUBLE AS seller_historical_delay_rate
        FROM good, (SELECT unnest(['Standard Local', 'Long Distance', 'Holiday Rush']) AS preset)""",
     "good",
@@ -205,7 +206,7 @@ def _(spark, folder):
     return rounded(
         df.select(
             "order_id", "preset", "distance_km", "lead_time_days_estimated", "customer_state", "seller_state",
-            "seller_state_backlog", "seller_historical_delay_rate",
+            "seller_state_backlog", "seller_intensity_score", "seller_historical_delay_rate",
         )
     )
 
@@ -289,8 +290,7 @@ def _(spark, folder):
     columns, scorer = sc.model_columns(model), sc.model_scorer(model)
     baseline = sc.feature_baseline(df, columns)
     ready = sc.aligned(sc.request_features(_valid(spark, folder), caps), columns, ["order_id"])
-    risky = scorer(ready).where("late_probability > 0.5").drop("late_probability")
-    return sc.top_factors(risky, scorer, columns, baseline)
+    return sc.top_factors(ready, scorer, columns, baseline)
 
 
 @register("p_model_stream")

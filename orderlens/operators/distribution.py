@@ -20,16 +20,26 @@ from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
 from orderlens.sources.staging import broadcast_if_small, staged
 
 
+def value_rows(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``(*by, column, value, n)`` with n = 1, staged but not shuffled; NULL and NaN values are left out.
+
+    Enough for histograms, which only count rows.
+    """
+    return staged(_long(df, columns, by).withColumn("n", F.lit(1).cast("long")), "values")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Staged rows ``(*by, column, value, n)``; NULL and NaN values are left out."""
+    """Staged rows ``(*by, column, value, n)``, one per distinct value; NULL and NaN values are left out."""
+    counted = _long(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return staged(counted, "value-counts")
+
+
+def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS double)" for c in columns)
     long = df.selectExpr(*by, f"stack({len(columns)}, {pairs}) AS (column, value)").where(
         "value IS NOT NULL AND NOT isnan(value)"
     )
-    if by:
-        long = long.dropna(subset=list(by))
-    counted = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return staged(counted, "value-counts")
+    return long.dropna(subset=list(by)) if by else long
 
 
 def quantiles(
@@ -133,16 +143,16 @@ def density(counts: DataFrame, by: Sequence[str] = (), points: int = 200, reach:
     key = [*by, "column"]
     moments = counts.groupBy(*key).agg(
         F.sum("n").alias("_n"),
-        F.expr("sum(n * value)").alias("_s"),
-        F.expr("sum(n * value * value)").alias("_ss"),
+        F.expr("sum(n * value) / sum(n)").alias("_mean"),
         F.min("value").alias("_min"),
         F.max("value").alias("_max"),
     )
+    moments = broadcast_if_small(moments.where("_n > 1 AND _max > _min"), "moments")
+    # Squared distances from the mean: a large mean with a small spread must not cancel.
+    spread = counts.join(moments, key).groupBy(*key, "_n", "_min", "_max")
+    spread = spread.agg(F.expr("sum(n * pow(value - _mean, 2))").alias("_ss"))
     kernels = broadcast_if_small(
-        moments.where("_n > 1 AND _max > _min").selectExpr(
-            *key, "_n", "_min", "_max", "pow(_n, -0.2D) * sqrt((_ss - _s * _s / _n) / (_n - 1)) AS _h"
-        ),
-        "kernels",
+        spread.selectExpr(*key, "_n", "_min", "_max", "pow(_n, -0.2D) * sqrt(_ss / (_n - 1)) AS _h"), "kernels"
     )
     grid = f"(_min - {reach!r}D * _h) + (_max - _min + {2 * reach!r}D * _h) * point / {points - 1}"
     scale = 1.0 / math.sqrt(2.0 * math.pi)

@@ -122,7 +122,11 @@ def order_facts(t: Marketplace, parts: Collection[str] = ALL_PARTS) -> DataFrame
         ).withColumn("has_seller", F.lit(True))
         if centroids is not None:
             sellers = located(sellers, "seller_zip_code_prefix", centroids, "seller")
-        facts = facts.join(sellers.drop("seller_zip_code_prefix"), "seller_id", "left")
+        sellers = sellers.drop("seller_zip_code_prefix").withColumnRenamed("seller_id", "_seller")
+        # Orders without a seller find none, but must not all meet in one task: their key is spread.
+        spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("order_id"), F.lit(1024)).cast("string"))
+        key = F.coalesce("seller_id", spread)
+        facts = facts.join(sellers, key == F.col("_seller"), "left").drop("_seller")
     if centroids is not None and {"customers", "sellers"} <= set(parts):
         facts = facts.withColumn("distance_km", distance_km())
         facts = facts.drop("customer_lat", "customer_lng", "seller_lat", "seller_lng")

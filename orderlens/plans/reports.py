@@ -116,7 +116,7 @@ def purchase_hours(df: DataFrame) -> DataFrame:
 
 
 def histograms(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
-    return dist.histogram(dist.value_counts(df, columns), bins)
+    return dist.histogram(dist.value_rows(df, columns), bins)
 
 
 def distance_histograms(df: DataFrame, bins: int = 50) -> DataFrame:
@@ -182,7 +182,7 @@ def freight_share_rates(df: DataFrame, share: float = 0.5) -> DataFrame:
     """Late rate where freight is more than ``share`` of the price; free goods with freight count as more."""
     flag = (
         f"CASE WHEN total_freight / nullif(total_price, 0) > {share} OR (total_price = 0 AND total_freight > 0) "
-        "THEN 'High Freight (>50%)' ELSE 'Normal Freight' END AS freight_flag"
+        f"THEN 'High Freight (>{share * 100:g}%)' ELSE 'Normal Freight' END AS freight_flag"
     )
     return late_rate_by(df.selectExpr(flag, "is_late"), "freight_flag")
 

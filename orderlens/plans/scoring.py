@@ -211,7 +211,7 @@ def top_factors(
     """The ``k`` features that move a row's probability most.
 
     A feature's impact is the probability minus the probability with that feature at its baseline.
-    Each row is scored once per feature, so callers usually pass only high-risk rows. The variants of
+    Each row is scored once per feature; rows with the same key are ranked each. The variants of
     a row are produced next to each other and shrink to one array before they are shuffled.
     """
 
@@ -221,14 +221,15 @@ def top_factors(
 
     kinds = dict(features.dtypes)
     names = ", ".join(f"'{c}'" for c in columns)
-    scored = scorer(features.select(key, *columns)).withColumnRenamed("late_probability", "_actual")
-    variants = scored.selectExpr(key, "_actual", f"explode(array({names})) AS _feature", *[f"`{c}`" for c in columns])
+    rows = features.select(key, *columns).withColumn("_row", F.monotonically_increasing_id())
+    scored = scorer(rows).withColumnRenamed("late_probability", "_actual")
+    variants = scored.selectExpr(key, "_row", "_actual", f"explode(array({names})) AS _feature", *[f"`{c}`" for c in columns])
     variants = variants.selectExpr(
-        key, "_actual", "_feature",
+        key, "_row", "_actual", "_feature",
         *[f"CAST(CASE WHEN _feature = '{c}' THEN {literal(c)} ELSE `{c}` END AS {_wide(kinds[c])}) AS `{c}`" for c in columns],
     )
-    impacts = scorer(variants).selectExpr(key, "_feature", "_actual - late_probability AS _impact")
-    ranked = impacts.groupBy(key).agg(
+    impacts = scorer(variants).selectExpr(key, "_row", "_feature", "_actual - late_probability AS _impact")
+    ranked = impacts.groupBy(key, "_row").agg(
         F.expr("sort_array(collect_list(struct(-abs(_impact) AS size, _feature AS feature, _impact AS impact)))").alias("_all")
     )
     return ranked.selectExpr(key, f"posexplode(slice(_all, 1, {k})) AS (_pos, _f)").selectExpr(
@@ -276,7 +277,12 @@ def what_if(
 
 
 def with_presets(requests: DataFrame, presets: Mapping[str, Mapping[str, str]] = PRESETS) -> DataFrame:
-    """Every request once per preset, with the preset's fields overridden."""
+    """Every request once per preset, with the preset's fields overridden; a preset that sets the seller's backlog sets
+    the seller's intensity to the same number, as the request form does."""
+    presets = {
+        n: {"seller_intensity_score": fs["seller_state_backlog"], **fs} if "seller_state_backlog" in fs else fs
+        for n, fs in presets.items()
+    }
     names = ", ".join(f"'{n}'" for n in presets)
     spread = requests.selectExpr("*", f"explode(array({names})) AS preset")
 

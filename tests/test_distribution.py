@@ -54,3 +54,17 @@ def test_density_equals_direct_sum(counts, numbers):
     found = dist.density(counts, points=50).orderBy("point").collect()
     assert np.allclose([r["x"] for r in found], grid)
     assert np.allclose([r["density"] for r in found], direct)
+
+
+def test_density_of_large_values_with_a_small_spread(spark):
+    rows = [(1e9 + i * 1e-3, 0) for i in range(100)]
+    counts = dist.value_counts(spark.createDataFrame(rows, "x double, label int"), ["x"])
+    found = [r["density"] for r in dist.density(counts, points=20).collect()]
+    assert len(found) == 20 and all(0 <= d < 100 for d in found) and max(found) > 1
+
+
+def test_histogram_of_rows_equals_histogram_of_counts(spark):
+    df = spark.createDataFrame([(float(i % 7),) for i in range(100)], "x double")
+    key = ["column", "bin"]
+    a = dist.histogram(dist.value_rows(df, ["x"]), 5).orderBy(*key).collect()
+    assert a == dist.histogram(dist.value_counts(df, ["x"]), 5).orderBy(*key).collect()
