@@ -70,13 +70,15 @@ def tile_links(
 def _pack(table: pa.Table) -> pa.Table:
     vectors = table.column("embedding").combine_chunks()
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("<f8")
+    with np.errstate(over="ignore"):
+        narrow = flat.astype("<f4")
     ids = table.column("rep").combine_chunks().to_numpy().astype("<i8")
     many = table.column("n").combine_chunks().to_numpy().astype("<i8")
     return pa.table({
         "tile": table.column("tile")[:1],
         "ids": pa.array([ids.tobytes()], pa.binary()),
         "many": pa.array([many.tobytes()], pa.binary()),
-        "flat": pa.array([flat.astype("<f4").tobytes() if (flat == flat.astype("<f4")).all() else flat.tobytes()], pa.binary()),
+        "flat": pa.array([narrow.tobytes() if (flat == narrow).all() else flat.tobytes()], pa.binary()),
     })
 
 

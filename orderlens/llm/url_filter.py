@@ -3,8 +3,7 @@
 Per host, paths become templates level by level: a segment that varies (it holds a digit, or its level has nearly
 as many values as rows) turns into a wildcard. Sibling templates whose labelled shares of blocked urls cannot be
 told apart are merged. The labels are the verdicts of the rules. A template is blocked when its share of blocked
-labels, smoothed towards the same path template over all hosts and that towards the whole table, reaches a
-threshold. Everything is counted by aggregation; one busy host is combined before the shuffle.
+labels, smoothed by ``weight`` urls of the share ``prior``, reaches a threshold; without labels it is allowed. Everything is counted by aggregation; one busy host is combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -79,13 +78,14 @@ def _smoothed(blocked: Column, total: Column, prior: Column, weight: float) -> C
 
 def judge_urls(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, depth: int = 3,
-    variety: float = 0.5, least: int = 20, weight: float = 4.0, threshold: float = 0.5,
+    variety: float = 0.5, least: int = 20, weight: float = 4.0,
+    prior: float = 0.1, threshold: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, template, branch, score.
 
     A null url, or one without ``://``, has an empty host and path and is judged by its (empty) template. Repeated rows
-    are judged and counted each; an empty table gives no rows; extra columns do not matter. With no labels at
-    all every score is 0 and the verdict allow.
+    are judged and counted each; an empty table gives no rows; extra columns do not matter. A host without labels
+    is allowed.
     """
     url = F.coalesce(F.col(url_col), F.lit(""))
     parsed = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -96,24 +96,15 @@ def judge_urls(
         F.count(label).alias("n"), F.count(F.when(label == "block", 1)).alias("b")
     )
     counted = settle(counted, "purity")
-    # One row for the whole table and one per path template: priors for hosts with few labels or none.
-    whole = counted.agg(
-        F.coalesce(F.sum("b") / F.greatest(F.sum("n"), F.lit(1)), F.lit(0.0)).alias("p")
-    ).first()
-    base = F.lit(float(whole["p"] or 0.0))
-    everywhere = counted.groupBy("template").agg(
-        _smoothed(F.sum("b"), F.sum("n"), base, weight).alias("prior")
-    )
-    scored = counted.join(everywhere, "template")
     # Siblings with the same smoothed share, up to what their counts can tell apart, are one branch.
-    share = _smoothed(F.col("b"), F.col("n"), F.col("prior"), weight)
+    share = _smoothed(F.col("b"), F.col("n"), F.lit(prior), weight)
     spread = F.sqrt(share * (1 - share) / (F.col("n") + weight))
     step = F.greatest(F.lit(0.05), F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(spread, F.lit(0.05))))))
     parent = F.regexp_replace("template", r"/[^/]*$", "")
     branch = F.concat_ws(" ", parent, F.round(step, 3).cast("string"), F.floor(share / step).cast("string"))
-    scored = scored.withColumn("branch", branch)
+    scored = counted.withColumn("branch", branch)
     merged = scored.groupBy("host", "branch").agg(
-        _smoothed(F.sum("b"), F.sum("n"), F.avg("prior"), weight).alias("score")
+        _smoothed(F.sum("b"), F.sum("n"), F.lit(prior), weight).alias("score")
     )
     tree = scored.select("host", "template", "branch").join(merged, ["host", "branch"])
     judged = shaped.join(tree, ["host", "template"], "left")
