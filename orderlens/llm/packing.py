@@ -26,7 +26,7 @@ from orderlens.llm.common import bounded_batches, settle, slices
 
 SEQUENCE = 1024
 END_ID = 2
-MOST_CHUNKS = 300_000
+MOST_CHUNKS = 120_000
 # Fixed value: the pre-token pattern of byte-level vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SALTS = 256

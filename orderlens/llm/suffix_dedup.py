@@ -32,7 +32,7 @@ from orderlens.sources.staging import broadcast_if_small, discard
 
 WIDTH = 50
 GRAM = 24
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 MOST_CONTEXTS = 20_000
 
 _NO_ID = -(1 << 63)  # stands for a null id
