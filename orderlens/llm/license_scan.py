@@ -37,26 +37,37 @@ def scan_lines(
 ) -> DataFrame:
     """(path, license, score): each file's best template over all its lines, files without a match left out.
 
-    Document frequencies are counted over the distinct lines that share a term with a template, smoothed by one.
+    Document frequencies are counted over all lines that share a term with a template, smoothed by one.
     """
     spark = files.sparkSession
     given = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(templates)], "t int, license string, statement string")
     words = given.select("t", F.explode(_terms(F.col("statement"))).alias("term")).groupBy("t", "term").count()
     words = words.withColumnRenamed("count", "n")
-    vocabulary = [r["term"] for r in words.select("term").distinct().collect()]  # the templates' own words
+    words_of = words.collect()  # the templates' own words
+    vocabulary = sorted({r["term"] for r in words_of})
     known = F.array(*[F.lit(t) for t in sorted(vocabulary)]) if vocabulary else F.array().cast("array<string>")
-    # A cosine of the threshold needs common terms; equal lines are one row before they meet the templates.
     lines = files.select(F.col(path_col).alias("path"), F.explode(F.split(text_of(text_col), r"\r\n|\n|\r")).alias("line"))
-    lines = lines.where((F.char_length("line") > 0) & F.arrays_overlap(_terms(F.col("line")), known))
-    counted = settle(lines.groupBy("line").agg(F.count("*").alias("_rows")), "lines")
-    terms = counted.select("line", F.explode(_terms(F.col("line"))).alias("term")).groupBy("line", "term").agg(F.count("*").alias("n"))
-    total = counted.count()
-    seen = terms.join(F.broadcast(words.select("term").distinct()), "term", "left_semi")
-    frequency = seen.groupBy("term").agg(F.count("*").alias("df"))
-    weight = F.log((F.lit(total) + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0
-    inverse = words.select("term").distinct().join(frequency, "term", "left").select("term", weight.alias("idf"))
-    inverse = settle(inverse, "idf")
+    shared = F.array_intersect(_terms(F.col("line")), known)
+    lines = lines.where(F.char_length("line") > 0).withColumn("_shared", shared).where(F.size("_shared") > 0)
+    # One row per word of the templates, and one, the empty word, for all lines.
+    counts = lines.select(F.explode(F.array_append("_shared", F.lit(""))).alias("term")).groupBy("term").count().collect()
+    seen = {r["term"]: r["count"] for r in counts}
+    total = seen.get("", 0)
+    idf = {t: math.log((total + 1.0) / (seen.get(t, 0) + 1.0)) + 1.0 for t in vocabulary}
+    inverse = spark.createDataFrame(list(idf.items()), "term string, idf double")
     rare = F.lit(math.log(total + 1.0) + 1.0)  # a term that no template has
+    # By Cauchy's inequality a line can only reach the threshold if the words it shares hold that part of a
+    # template's norm. What passes is little; equal lines are one row before they meet the templates.
+    possible = F.lit(False)
+    for t in {r["t"] for r in words_of}:
+        square = {r["term"]: (r["n"] * idf[r["term"]]) ** 2 for r in words_of if r["t"] == t}
+        held = F.lit(0.0)
+        for term, weight in sorted(square.items()):
+            held = held + F.when(F.array_contains("_shared", term), F.lit(weight)).otherwise(0.0)
+        possible = possible | (held >= F.lit(threshold**2 * sum(square.values()) * (1 - 1e-9)))
+    lines = settle(lines.where(possible).select("path", "line"), "lines")
+    terms = lines.select("line").distinct().select("line", F.explode(_terms(F.col("line"))).alias("term"))
+    terms = terms.groupBy("line", "term").agg(F.count("*").alias("n"))
     ours = terms.join(F.broadcast(inverse), "term", "left").withColumn("w", F.col("n") * F.coalesce("idf", rare))
     norms = ours.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     theirs = words.join(inverse, "term").withColumn("v", F.col("n") * F.col("idf"))
