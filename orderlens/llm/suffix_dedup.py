@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import parts_for, settle, utf8
+from orderlens.llm.common import bounded_batches, parts_for, settle, utf8
 from orderlens.sources.staging import broadcast_if_small, discard
 
 WIDTH = 50
@@ -57,15 +57,23 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _doubling(raw: np.ndarray, upto: int, powers: list[np.uint64]) -> list[np.ndarray]:
-    """Hashes of all strings of 1, 2, 4, … ``upto`` bytes, by where they start."""
-    h, step, out = raw.astype(np.uint64) + np.uint64(1), 1, []
-    out.append(h)
+def _doubling(raw: np.ndarray, upto: int, powers: list[np.uint64]) -> Iterator[tuple[int, np.ndarray]]:
+    """For k = 0, 1, … with 2**k up to ``upto``: k and the hashes of all strings of 2**k bytes, by where they start.
+
+    Only the last level is held: a level costs eight bytes for each byte of text.
+    """
+    h, step = raw.astype(np.uint64), 1
+    h += np.uint64(1)
+    yield 0, h
     for k in range(upto.bit_length() - 1):
-        h = h[: max(0, len(h) - step)] * powers[k] + h[step:] if len(h) > step else h[:0]
+        if len(h) > step:
+            longer = h[: len(h) - step] * powers[k]
+            longer += h[step:]
+            h = longer
+        else:
+            h = h[:0]
         step *= 2
-        out.append(h)
-    return out
+        yield k + 1, h
 
 
 def _slide(values: np.ndarray, width: int, take) -> np.ndarray:
@@ -85,13 +93,18 @@ def anchors(raw: np.ndarray, at: np.ndarray, width: int, gram: int = GRAM) -> tu
     span = width - gram + 1
     if len(raw) < width:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    table = _doubling(raw, gram, _POW1)
-    grams = table[-1]
-    have = 1 << (len(table) - 1)
-    for k in range(len(table) - 2, -1, -1):  # a gram is put together from pieces of 2**k bytes
-        if gram - have >= 1 << k:
-            grams = grams[: len(raw) - have - (1 << k) + 1] * _POW1[k] + table[k][have : len(raw) - (1 << k) + 1]
+    grams, have = None, 0
+    for k, level in _doubling(raw, gram, _POW1):  # a gram is put together from pieces of 2**k bytes
+        if not gram >> k & 1:
+            continue
+        if grams is None:
+            grams, have = level, 1 << k
+        else:
+            n = len(raw) - have - (1 << k) + 1
+            grams = grams[:n] * _POW1[k]
+            grams += level[have : have + n]
             have += 1 << k
+    del level
     grams = _mix(grams)
     value = (grams >> np.uint64(33)).astype(np.uint32) + np.uint32(1)
     least = _slide(value, span, np.minimum)  # one for each window of width bytes
@@ -109,14 +122,13 @@ def anchors(raw: np.ndarray, at: np.ndarray, width: int, gram: int = GRAM) -> tu
 
 
 def _context_hash(raw: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """64-bit hash of raw[place-left : place+right] and of left: binary pieces of the length, longest first."""
+    """64-bit hash of raw[place-left : place+right] and of left: binary pieces of the length, shortest first."""
     start, length = place - left, left + right
     h = left.astype(np.uint64) * np.uint64(_M2) + right.astype(np.uint64)
-    table = _doubling(raw, 64, _POW2)
     at = start.copy()
-    for k in range(len(table) - 1, -1, -1):
+    for k, level in _doubling(raw, int(length.max(initial=1)), _POW2):
         take = (length >> k) & 1 == 1
-        h[take] = _mix(h[take] * np.uint64(_M1) + table[k][at[take]])
+        h[take] = _mix(h[take] * np.uint64(_M1) + level[at[take]])
         at[take] += 1 << k
     return _mix(h)
 
@@ -387,6 +399,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     if not GRAM < width < 256:
         raise ValueError(f"width must lie between {GRAM} and 256")
     spark = docs.sparkSession
+    bounded_batches(spark)
     dealt, copies, total = _batches_by_key(docs, id_col, text_col)
     reach = width - GRAM
     n = parts_for(spark, total)

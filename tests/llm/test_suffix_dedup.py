@@ -83,3 +83,12 @@ def test_cut_texts_stay_valid(docs):
     assert {t for i, t in got if i == 2} == {"b"} and (3, None) in got and (None, same) in got
     assert cut.columns == docs(rows).columns and cut.count() == 6
     assert sd.passages(docs([])).collect() == []
+
+
+def test_wide_windows_hash_their_whole_context(docs):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = text(400)
+    rows = [(1, shared), (2, text(90) + shared[30:260] + text(70)), (3, shared[:330] + "#" + shared[331:]), (4, shared[:119])]
+    got = {r["doc_id"]: tuple(r)[1:5] for r in sd.passages(docs(rows), width=120).collect()}
+    assert got == brute(rows, 120)
