@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderlens.sources.staging import staged
 
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

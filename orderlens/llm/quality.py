@@ -111,7 +111,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text", 1 << 20):
                 rows = statistics(*utf8(batch.column(1)))
                 flat = pa.array(rows.astype(np.float32).ravel())
                 offsets = pa.array(np.arange(len(rows) + 1) * len(STATISTICS), pa.int32())
