@@ -21,11 +21,13 @@ from orderlens.llm import (
     suffix_dedup,
     url_filter,
 )
-from orderlens.llm.common import table
+from orderlens.llm.common import settle, table
 from orderlens.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
+LICENSE_CHARS = 2000  # the longest text that op2 takes for a licence file
+
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,21 +35,25 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files: source/lang/LICENSE-<id> if the text begins with a licence's first words, else source/lang/<id>.
+    """Documents as files source/lang/<id div 1000>/<id div 100>/<id>.
 
+    A document with a licence match of its own and of at most ``LICENSE_CHARS`` characters is a licence file, LICENSE-<id>.
+    It lies 0 to 3 folders (id mod 4) above the folder that its id has otherwise, and gives to all below.
     Returns doc_id, path, license, score, found_in, origin.
     """
     docs = table(spark, sf_dir, "documents")
-    statements = [F.startswith(F.col("text"), F.lit(t)) for _, t in license_scan.TEMPLATES]
-    starts = statements[0]
-    for s in statements[1:]:
-        starts = starts | s
-    name = F.when(F.coalesce(starts, F.lit(False)), F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(
-        F.col("doc_id").cast("string")
-    )
-    files = docs.select("doc_id", F.concat_ws("/", "source", "lang", name).alias("path"), "text")
-    found = license_scan.scan_licenses(files, keep=("doc_id",))
-    return found.select(F.col("_col_doc_id").alias("doc_id"), "path", "license", "score", "found_in", "origin")
+    own = settle(license_scan.scan_texts(docs, path_col="doc_id").withColumnRenamed("path", "_id"), "own_ids")
+    name = F.col("doc_id").cast("string")
+    gives = F.col("license").isNotNull() & (F.char_length("text") <= LICENSE_CHARS)
+    above = F.when(gives, F.pmod("doc_id", F.lit(4))).otherwise(0)
+    folders = F.array_compact(F.array("source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 100).cast("string")))
+    folders = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - above, F.lit(0)).cast("int"))
+    path = F.concat_ws("/", folders, F.when(gives, F.concat(F.lit("LICENSE-"), name)).otherwise(name))
+    files = docs.join(own, name == F.col("_id"), "left").select("doc_id", path.alias("path"), "license", "score")
+    files = settle(files, "files")
+    mine = files.where("license IS NOT NULL").groupBy("path").agg(F.max(F.struct("score", "license")).alias("b"))
+    found = license_scan.inherited(files.select("path", "doc_id"), mine.select("path", "b.license", "b.score"))
+    return found.select("doc_id", "path", "license", "score", "found_in", "origin")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

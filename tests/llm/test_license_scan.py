@@ -1,3 +1,4 @@
+from __spark_entry__ import queries
 from orderlens.llm import license_scan as ls
 from tests.llm.conftest import LONG
 
@@ -50,3 +51,15 @@ def test_frequencies_count_every_term_of_all_files(spark):
     rows = [("a", "released of under the mit license"), ("b", "released zyx under the mit license")] + [(f"f{i}", "of") for i in range(400)]
     got = {r.path: r.score for r in ls.scan_texts(spark.createDataFrame(rows, "path string, text string")).collect()}
     assert 0.98 < got["a"] < 1 and got["b"] < 0.95
+
+
+def test_the_query_climbs_to_ancestors(spark, sf):
+    got = queries()["op2_license_scan"](spark, sf).collect()
+    by_path = {r.path: r for r in got}
+    assert len(by_path) == len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    heirs = [r for r in got if r.origin == "inherited"]
+    for r in heirs:
+        giver = by_path[r.found_in]
+        folder, above = r.path.rsplit("/", 1)[0], r.found_in.rsplit("/", 1)[0]
+        assert giver.origin == "own" and giver.license == r.license and (folder + "/").startswith(above + "/")
+    assert any(r.found_in.count("/") < r.path.count("/") for r in heirs)
