@@ -164,8 +164,11 @@ def _compare(radius: int):
 def links(reps: DataFrame, radius: int = RADIUS, most_per_key: int = MOST_PER_KEY) -> DataFrame:
     """Links (a, b) between representatives (fp, rep) whose fingerprints differ in ``radius`` bits or fewer.
 
-    The links of a group of fingerprints are a forest that connects what its pairs connect.
+    The links of a group of fingerprints are a forest that connects what its pairs connect. Two of four equal blocks
+    are certain only up to 2 bits; a larger radius is refused.
     """
+    if not 0 <= radius <= RADIUS:
+        raise ValueError(f"radius is 0 to {RADIUS}; two of four blocks miss pairs of {radius} bits")
     tables = [(m, left) for m, left in _masks(tuple(range(64)))]
     rows, found = reps, None
     while True:

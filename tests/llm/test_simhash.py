@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from orderlens.llm import simhash as sh
@@ -97,3 +98,9 @@ def test_components_and_kept_rows(docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 9, 9]
     assert len(kept.columns) == 5
     assert sh.near_duplicates(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("radius", [-1, 3])
+def test_a_radius_the_blocks_cannot_serve_is_refused(spark, radius):
+    with pytest.raises(ValueError, match="radius"):
+        sh.links(spark.createDataFrame([(0, 0), (1 | 1 << 16 | 1 << 32, 1)], "fp long, rep long"), radius)
