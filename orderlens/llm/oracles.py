@@ -49,4 +49,33 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN least ON v = vec_id LEFT JOIN counts ON a = vec_id
 """
 
-ORACLES: dict[str, str] = {"op7_embedding_dedup": OP7, "op9_chat_format": OP9, "op10_exact_dedup": OP10}
+OP13 = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY ALL),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM size),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM df, total WHERE term IN (SELECT term FROM asked)
+), parts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words))) AS part
+  FROM tf JOIN weights USING (term) JOIN size USING (doc_id), total
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * part) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op7_embedding_dedup": OP7, "op9_chat_format": OP9, "op10_exact_dedup": OP10, "op13_lexical_search": OP13}

@@ -14,11 +14,14 @@ from orderlens.llm import (
     chat_format,
     embedding_dedup,
     exact_dedup,
+    lexical_search,
     license_scan,
+    mixing,
     packing,
     quality,
     simhash,
     suffix_dedup,
+    token_alignment,
     url_filter,
 )
 from orderlens.llm.common import settle, table
@@ -98,6 +101,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align(table(spark, sf_dir, "documents"), a, b)[0]
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_license_scan": op2_license_scan,
@@ -109,5 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_chat_format": op9_chat_format,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_mix_sources": op11_mix_sources,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
