@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderlens.functions.calendar import BLACK_FRIDAYS, HOLIDAYS, days_to_nearest, is_one_of
-from orderlens.operators.distribution import quantiles, value_counts
-from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy
+from orderlens.operators.distribution import quantiles, value_rows
 
 TS = "order_purchase_timestamp"
 HUB = "SP"
@@ -161,16 +161,15 @@ def prepare(df: DataFrame, hub: str = HUB) -> DataFrame:
     return fill_numbers(clean_capped(with_interactions(log_scale(df), hub)))
 
 
-def fit_thresholds(prepared: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> dict[str, float]:
+def fit_thresholds(prepared: DataFrame) -> dict[str, float]:
     """The 99.5 % value of each capped column; empty for fewer than two rows.
 
     The result is one number per column (six at most), so it is plain Python.
     """
-    columns = [c for c in CAPPED if c in prepared.columns]
-    counts = value_counts(prepared, columns)
-    found = quantiles(counts, [CAP_LEVEL], policy=policy).where("value IS NOT NULL").collect()
-    rows = counts.groupBy("column").sum("n").agg({"sum(n)": "max"}).first()[0] or 0
-    return {r["column"]: r["value"] for r in found} if rows > 1 else {}
+    rows = value_rows(prepared, [c for c in CAPPED if c in prepared.columns])
+    found = quantiles(rows, [CAP_LEVEL]).where("value IS NOT NULL").collect()
+    most = rows.groupBy("column").count().agg(F.max("count")).first()[0] or 0
+    return {r["column"]: r["value"] for r in found} if most > 1 else {}
 
 
 def cap(prepared: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
@@ -185,11 +184,10 @@ def build_features(
     df: DataFrame,
     thresholds: Mapping[str, float] | None = None,
     hub: str = HUB,
-    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Capped features. Thresholds passed in win, column by column; the others are fitted on ``df``."""
     prepared = prepare(df, hub)
     known = dict(thresholds or {})
     if any(c in prepared.columns and c not in known for c in CAPPED):
-        known = fit_thresholds(prepared, policy) | known
+        known = fit_thresholds(prepared) | known
     return cap(prepared, known)

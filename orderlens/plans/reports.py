@@ -102,13 +102,12 @@ def distance_lead_grid(df: DataFrame, km: int = 500, days: int = 2) -> DataFrame
 
 
 def density_by_label(df: DataFrame, column: str, points: int = 200) -> DataFrame:
-    counts = dist.value_counts(df, [column], by=["is_late"])
-    return dist.density(counts, by=["is_late"], points=points)
+    return dist.density(dist.value_rows(df, [column], by=["is_late"]), by=["is_late"], points=points)
 
 
 def density_over_histogram(df: DataFrame, column: str, points: int = 200) -> DataFrame:
     """The curve drawn over a histogram: it ends where the data ends."""
-    return dist.density(dist.value_counts(df, [column]), points=points, reach=0.0)
+    return dist.density(dist.value_rows(df, [column]), points=points, reach=0.0)
 
 
 def purchase_hours(df: DataFrame) -> DataFrame:
@@ -219,9 +218,8 @@ def mutual_information(df: DataFrame, columns: Sequence[str] = NUMERIC[:-1], bin
     """How much each column, cut at its quantiles, says about the label (in nats), over all rows
     without missing values."""
     complete = df.select(*columns, "is_late").dropna()
-    counts = dist.value_counts(complete, columns, by=["is_late"])
-    overall = staged(counts.groupBy("column", "value").agg(F.sum("n").alias("n")), "value-counts")
-    cuts = dist.quantiles(overall, [i / bins for i in range(1, bins)])
+    counts = dist.value_rows(complete, columns, by=["is_late"])
+    cuts = dist.quantiles(counts.drop("is_late"), [i / bins for i in range(1, bins)])
     edges = broadcast_if_small(cuts.groupBy("column").agg(F.collect_list("value").alias("_edges")), "edges")
     cells = (
         counts.join(edges, "column")
@@ -243,7 +241,7 @@ def mutual_information(df: DataFrame, columns: Sequence[str] = NUMERIC[:-1], bin
 def iqr_outliers(df: DataFrame, columns: Sequence[str] = OUTLIER_COLUMNS) -> DataFrame:
     """Rows beyond 1.5 IQR of the quartiles, as a count and as a share of all rows."""
     # A constant column rides along to count the rows, missing values included.
-    counts = dist.value_counts(df.selectExpr(*columns, "0D AS _all"), [*columns, "_all"])
+    counts = dist.value_rows(df.selectExpr(*columns, "0D AS _all"), [*columns, "_all"])
     boxes = dist.box_stats(counts.where("column <> '_all'"))
     rows = counts.where("column = '_all'").agg(F.sum("n").alias("rows"))
     return boxes.select("column", "outliers", rows.scalar().alias("rows")).selectExpr(
@@ -252,7 +250,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] = OUTLIER_COLUMNS) -> Dat
 
 
 def boxes(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return dist.box_stats(dist.value_counts(df, columns, by), by)
+    return dist.box_stats(dist.value_rows(df, columns, by), by)
 
 
 # ---------------------------------------------------------------- binned features
@@ -288,8 +286,8 @@ def review_score_rates(features: DataFrame) -> DataFrame:
 
 def _distance_pivot(features: DataFrame, column: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
     """Late rate by distance third (rows) and bin (columns)."""
-    counts = dist.value_counts(features, ["distance_km"])
-    thirds = dist.quantile_table(counts, {"first": 1 / 3, "second": 2 / 3}).first()
+    rows = dist.value_rows(features, ["distance_km"])
+    thirds = dist.quantile_table(rows, {"first": 1 / 3, "second": 2 / 3}).first()
     if thirds is None:
         raise ValueError("no distances to cut into thirds")
     third = (
