@@ -3,6 +3,7 @@ import random
 from collections import Counter
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -87,18 +88,18 @@ def test_copies_nulls_and_odd_texts(docs):
     assert mine(docs([(1, None)]))[0] == [(1, 0, 0, 0, 0, 0, 0, "")]
 
 
-def test_windows_and_slices_change_nothing(docs, monkeypatch):
+def test_windows_and_blocks_change_nothing(docs, monkeypatch):
     rng = random.Random(9)
-    texts = [" ".join(rng.choices(["the", "of", "Apfel", "1,234", "naïve", "日本", "\n", ""], k=rng.randrange(200))) for _ in range(40)]
+    texts = [" ".join(rng.choices(["the", "of", "Apfel", "1,234", "naïve", "日本", "\n", "", "e" * 40], k=rng.randrange(200))) for _ in range(40)]
     rows = [(i, t) for i, t in enumerate(texts)]
-    expected = brute(rows)
-    monkeypatch.setattr(token_alignment, "WINDOW", 11)
-    for t in texts:  # in this process; workers have the usual sizes
-        find = token_alignment.aligner(A, B)
-        got = find.measure(t) if t else None
-        row = next(x for x in expected if x[0] == texts.index(t))
-        assert got is None and row[1] == 0 or (got[0], got[1], got[2], got[3].hex()) == (row[1], row[2], row[3], row[7])
-    assert mine(docs(rows))[0] == expected
+    expected = {x[0]: x for x in brute(rows)}
+    for name, value in (("WINDOW", 11), ("BLOCK_BYTES", 100), ("WIDE", 1)):
+        monkeypatch.setattr(token_alignment, name, value)  # in this process; workers have the usual sizes
+    for i, found in enumerate(token_alignment.Aligner(A, B).measure(texts)):
+        n_a, n_b, n_groups, n_links, digest, _, links = found or (0, 0, 0, 0, b"", [], [])
+        assert (n_a, n_b, n_groups, n_links, digest.hex()) == (*expected[i][1:5], expected[i][7])
+        assert sum(links) == n_links
+    assert {x[0]: x for x in mine(docs(rows))[0]} == expected
 
 
 def test_a_very_long_text(docs):
@@ -107,6 +108,9 @@ def test_a_very_long_text(docs):
     assert row[3] == 150_000 + (unit[3] - 10) and row[4] >= row[3]
 
 
-@pytest.mark.parametrize("a, b, expected", [([1, 1], [2], [([1, 1], [2])]), ([2, 1], [1, 1, 1], [([2], [1, 1]), ([1], [1])]), ([], [], [])])
-def test_groups_end_where_both_end(a, b, expected):
-    assert list(token_alignment.groups(a, b, [0, 1, 2], [0, 1, 2])) == expected
+@pytest.mark.parametrize(
+    "a, b, of_a, of_b", [([1, 2], [2], [False, True], [True]), ([2, 3], [1, 2, 3], [True, True], [False, True, True]), ([3], [3], [True], [True])]
+)
+def test_groups_end_where_both_end(a, b, of_a, of_b):
+    got = token_alignment.group_ends(np.array(a), np.array(b), 3)
+    assert [x.tolist() for x in got] == [of_a, of_b]
