@@ -2,8 +2,8 @@
 
 Spark's gradient-boosted trees stand in for the boosted trees users trained before; settings without
 a counterpart (L2 on leaves, random strength, bagging temperature) are replaced by the subsampling
-rate. Everything that orders all rows (folds, exact samples, average precision) goes through
-``with_history``, so a label with most of the rows is spread over many tasks.
+rate. Nothing puts a label with most of the rows into one task: folds and exact samples go by hash
+prefixes, average precision by ``with_history``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,7 +21,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators.hash_order import first_rows, with_rank
 from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
+from orderlens.plans.ensemble import first_trees, round_curve
 from orderlens.plans.features import fit_thresholds, present_categoricals
 from orderlens.sources.artifacts import append_run, write_importances, write_settings, write_thresholds
 from orderlens.sources.staging import staged
@@ -60,32 +62,17 @@ def with_balanced_weights(df: DataFrame) -> DataFrame:
     return df.withColumn("_weight", F.expr(f"CASE {LABEL} {cases} END") if cases else F.lit(1.0))
 
 
-def _hash_rank(df: DataFrame, group: list[str], row_key: Sequence[str], seed: int, policy: SkewPolicy, **extra):
-    text = ", ".join(f"coalesce(CAST(`{c}` AS string), '')" for c in row_key)
-    hashed = df.withColumn("_hash", F.expr(f"md5(concat({text}, '{seed}'))"))
-    return with_history(hashed, group, ["_hash", *row_key], before={"_rank": "1"}, policy=policy, **extra).drop("_hash")
-
-
-def with_folds(
-    df: DataFrame, k: int, seed: int = SEED, row_key: Sequence[str] = (ID,), policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def with_folds(df: DataFrame, k: int, seed: int = SEED, row_key: Sequence[str] = (ID,)) -> DataFrame:
     """Add ``_fold``: rows of each class, shuffled by a hash of ``row_key``, dealt out in turn.
 
     Fold sizes differ by at most one per class. ``row_key`` should identify a row.
     """
-    return _hash_rank(df, [LABEL], row_key, seed, policy).selectExpr("*", f"CAST(_rank % {k} AS int) AS _fold").drop("_rank")
+    return with_rank(df, [LABEL], row_key, seed).selectExpr("*", f"CAST(_rank % {k} AS int) AS _fold").drop("_rank")
 
 
-def sample_rows(
-    df: DataFrame, fraction: float, seed: int = SEED, row_key: Sequence[str] = (ID,), policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def sample_rows(df: DataFrame, fraction: float, seed: int = SEED, row_key: Sequence[str] = (ID,)) -> DataFrame:
     """Exactly ``round(fraction * rows)`` rows, the same ones on every run."""
-    if fraction >= 1.0:
-        return df
-    # One group for all rows. A literal would be folded away and turn the cut lookup into a nested loop.
-    everything = df.withColumn("_all", F.expr(f"length(md5(coalesce(CAST(`{row_key[0]}` AS string), '')))"))
-    ranked = _hash_rank(everything, ["_all"], row_key, seed, policy, total={"_rows": "1"})
-    return ranked.where(f"_rank < bround({fraction!r}D * _rows)").drop("_all", "_rank", "_rows")
+    return df if fraction >= 1.0 else first_rows(df, fraction, row_key, seed)
 
 
 def _encoder(df: DataFrame) -> tuple[list[StringIndexer | VectorAssembler], list[str]]:
@@ -142,10 +129,10 @@ def best_round(losses: Sequence[float], patience: int) -> int:
 def fit_with_early_stopping(
     train: DataFrame, validation: DataFrame, settings: TreeSettings, patience: int = 50
 ) -> PipelineModel:
-    """Keep the number of rounds with the lowest loss on the validation rows.
+    """Keep the number of rounds with the best F1 on the validation rows.
 
-    Boosting is sequential, so fitting again with fewer rounds gives the first rounds of the longer
-    fit. With ``patience=0`` Spark's own tolerance rule stops during the fit instead (one fit only).
+    One fit with all rounds; the validation rows pass its trees once, and the model is cut to its first trees.
+    With ``patience=0`` Spark's own tolerance rule stops during the fit instead.
     """
     if patience <= 0:
         both = train.withColumn("_validation", F.lit(False)).unionByName(
@@ -153,11 +140,9 @@ def fit_with_early_stopping(
         )
         return fit_trees(both, settings, "_validation")
     model = fit_trees(train, settings)
-    held_out = PipelineModel(stages=model.stages[:-1]).transform(
-        without_gaps(validation).withColumn("_weight", F.lit(1.0))
-    )
-    rounds = best_round(trees_of(model).evaluateEachIteration(held_out), patience)
-    return model if rounds >= settings.rounds else fit_trees(train, replace(settings, rounds=rounds))
+    curve = round_curve(model, without_gaps(validation).withColumn("_weight", F.lit(1.0)), LABEL)
+    f1 = [r["f1"] for r in curve.orderBy("round").collect()]  # one number a round
+    return first_trees(model, best_round([-x for x in f1], patience)) if f1 else model
 
 
 # ---------------------------------------------------------------- applying
@@ -242,7 +227,7 @@ def cross_validate(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Metrics per fold. Each fold's model is fitted on the other folds, in parallel inside Spark."""
-    dealt = staged(with_folds(features, folds, settings.seed, row_key, policy), "folds")
+    dealt = staged(with_folds(features, folds, settings.seed, row_key), "folds")
     scored = None
     for fold in range(folds):
         train, held_out = dealt.where(f"_fold <> {fold}"), dealt.where(f"_fold = {fold}")

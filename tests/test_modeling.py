@@ -27,9 +27,8 @@ def _labelled(spark, n=1003):
     return spark.range(n).selectExpr("CAST(id AS string) AS order_id", "CAST(id % 11 = 0 AS int) AS is_late")
 
 
-@pytest.mark.parametrize("policy", [SkewPolicy(), SkewPolicy(60, 1.0)], ids=["plain", "cut"])
-def test_folds_are_even_in_each_class(spark, policy):
-    folds = md.with_folds(_labelled(spark), 5, policy=policy)
+def test_folds_are_even_in_each_class(spark):
+    folds = md.with_folds(_labelled(spark), 5)
     for label in (0, 1):
         sizes = [r["count"] for r in folds.where(f"is_late = {label}").groupBy("_fold").count().collect()]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
