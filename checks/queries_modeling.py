@@ -1,14 +1,20 @@
-"""Modelling jobs. Metrics, folds and samples have oracles; fitted models are checked by rows only."""
+"""Modelling jobs. Metrics, folds, samples and target statistics have oracles. What a fitted model says cannot be put into
+SQL; its queries return rows only, and queries beside them check what must hold of it against constants and row counts."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.oracle_features import CAPPED
 from checks.queries_features import dataset
 from checks.registry import register, rounded
+from orderlens.plans import ensemble as en
 from orderlens.plans import features as fe
 from orderlens.plans import modeling as md
+from orderlens.plans import target_stats as ts
 from orderlens.plans.dataset import analytical_dataset
 from orderlens.sources.artifacts import write_importances
 from orderlens.sources.marketplace import marketplace_from_star
@@ -50,6 +56,50 @@ def _(spark, folder):
     )
 
 
+def _running(column: str, w: str) -> str:
+    return f"round((coalesce(sum(is_late) OVER {w}, 0) + p) / (count(*) OVER {w} + 1), 9) AS {column}"
+
+
+def _window(column: str) -> str:
+    return f"""(PARTITION BY coalesce({column}, 'UNKNOWN') ORDER BY md5(order_id || '42'), order_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+_CATEGORIES = ("product_category", "customer_state")
+_WITH_CATEGORIES = f"(SELECT DISTINCT order_id, is_late, {', '.join(_CATEGORIES)} FROM plain_dataset)"
+
+
+def _categorized(spark, folder):
+    return analytical_dataset(marketplace_from_star(spark, folder), ["order_id", "is_late", *_CATEGORIES], dedupe_reviews=True)
+
+
+@register(
+    "m01_target_statistics",
+    f"""SELECT order_id, {', '.join(_running(c, f'w{i}') for i, c in enumerate(_CATEGORIES))}
+        FROM {_WITH_CATEGORIES}, (SELECT avg(is_late) AS p FROM {_WITH_CATEGORIES})
+        WINDOW {', '.join(f'w{i} AS {_window(c)}' for i, c in enumerate(_CATEGORIES))}""",
+    "plain_dataset",
+)
+def _(spark, folder):
+    found = ts.ordered_statistics(_categorized(spark, folder), _CATEGORIES, "is_late", ["order_id"], md.SEED)
+    return rounded(found.drop("is_late"), 9)
+
+
+@register(
+    "m01_category_rates",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, coalesce({c}, 'UNKNOWN') AS category, count(*) AS rows, sum(is_late)::DOUBLE AS late,
+            round((sum(is_late) + max(p)) / (count(*) + 1), 9) AS rate
+            FROM {_WITH_CATEGORIES}, (SELECT avg(is_late) AS p FROM {_WITH_CATEGORIES}) GROUP BY ALL
+            UNION ALL SELECT '{c}', NULL, 0, 0, round(avg(is_late), 9) FROM {_WITH_CATEGORIES}"""
+        for c in _CATEGORIES
+    ),
+    "plain_dataset",
+)
+def _(spark, folder):
+    return rounded(ts.category_table(_categorized(spark, folder), _CATEGORIES, "is_late").withColumnRenamed("column", "column_name"), 9)
+
+
 @register(
     "m02_base_rate",
     "SELECT count(*) AS rows, round(avg(is_late) * 100, 6) AS late_percent FROM plain_dataset",
@@ -95,6 +145,106 @@ def _(spark, folder):
     return md.predict(model, held_out).withColumn("rounds", F.lit(rounds))
 
 
+def _differing(a, b, digits=12):
+    """(rows, differing): how many probabilities of two predictions of the same rows differ."""
+    key = ["order_id", "_copy"]
+    numbered = [
+        x.selectExpr("order_id", f"round(late_probability, {digits}) AS p").withColumn(
+            "_copy", F.row_number().over(Window.partitionBy("order_id").orderBy("p"))
+        )
+        for x in (a, b)
+    ]
+    both = numbered[0].join(numbered[1].withColumnRenamed("p", "q"), key, "full")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.expr("count_if(NOT p <=> q)").alias("differing"))
+
+
+_ALL_EQUAL = "SELECT count(*) AS rows, 0::BIGINT AS differing FROM features"
+
+
+@register("m05_same_seed_same_model", _ALL_EQUAL, "features")
+def _(spark, folder):
+    """Two fits with one seed say the same of every row."""
+    df = features(spark, folder)
+    return _differing(md.predict(md.fit_trees(df, SMALL), df), md.predict(md.fit_trees(df, SMALL), df))
+
+
+@register("m05_trees_on_statistics", "SELECT count(*) AS rows, 0::BIGINT AS outside, true AS above_base_rate FROM features", "features")
+def _(spark, folder):
+    """Trees over target statistics: probabilities between 0 and 1 that rank late rows better than chance."""
+    df = features(spark, folder)
+    fitted = md.fit_on_statistics(df, SMALL, ROW_KEY)
+    scored = staged(md.predict_on_statistics(fitted, df, ["order_id", "is_late"]).withColumn("g", F.lit(0)), "scores")
+    ap = md.average_precision(scored, "g").first()["pr_auc"]
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.expr("count_if(NOT late_probability BETWEEN 0 AND 1)").alias("outside"),
+        (F.lit(ap) > F.avg("is_late")).alias("above_base_rate"),
+    )
+
+
+@register(
+    "m06_round_curve",
+    "SELECT unnest(range(1, 5))::INTEGER AS round, count(*) AS rows, true AS f1_agrees, true AS pr_auc_agrees FROM features",
+    "features",
+)
+def _(spark, folder):
+    """Each round of the curve against the metrics of the model cut to that many trees."""
+    df = features(spark, folder)
+    model = md.fit_trees(df, SMALL)
+    curve = en.round_curve(model, md.without_gaps(df).withColumn("_weight", F.lit(1.0)), "is_late")
+    parts = [md.predict(en.first_trees(model, n), df, ["order_id", "is_late"]).withColumn("_fold", F.lit(n)) for n in range(1, SMALL.rounds + 1)]
+    direct = md.fold_metrics(staged(reduce(DataFrame.unionByName, parts), "rounds"))
+    direct = direct.select(F.col("_fold").alias("round"), F.col("f1").alias("f"), F.col("pr_auc").alias("ap"))
+    return curve.join(direct, "round").selectExpr("round", "rows", "abs(f1 - f) < 1e-12 AS f1_agrees", "abs(pr_auc - ap) < 2e-3 AS pr_auc_agrees")
+
+
+@register("m06_best_round", "SELECT true AS is_best_of_the_curve, 0::BIGINT AS differing FROM features LIMIT 1", "features")
+def _(spark, folder):
+    """Early stopping keeps the first trees of the whole fit, as many as the stored curve says."""
+    dealt = staged(md.with_folds(features(spark, folder), 3, row_key=ROW_KEY), "folds")
+    train, held_out = dealt.where("_fold <> 0"), dealt.where("_fold = 0")
+    whole = md.fit_trees(train, SMALL)
+    curve = en.round_curve(whole, md.without_gaps(held_out).withColumn("_weight", F.lit(1.0)), "is_late")
+    kept = md.fit_with_early_stopping(train, held_out, SMALL, patience=2)
+    best = md.best_round([-r["f1"] for r in curve.orderBy("round").collect()], 2)
+    same = _differing(md.predict(kept, held_out), md.predict(en.first_trees(whole, best), held_out))
+    return same.select(F.lit(md.trees_of(kept).getNumTrees == best).alias("is_best_of_the_curve"), "differing")
+
+
+@register("m10_reloaded_model", _ALL_EQUAL, "features")
+def _(spark, folder):
+    """A model read back from its folder says what it said in memory."""
+    df, home = features(spark, folder), fresh_path(spark, "training")
+    done = md.train(df, home, SMALL, folds=2, patience=0, row_key=ROW_KEY)
+    return _differing(md.predict(done.model, df), md.predict(md.load_model([f"{home}/baseline"]), df))
+
+
+@register("m11_importance_shares", "SELECT 44::BIGINT AS names, 100.0::DOUBLE AS total, 0::BIGINT AS negative FROM features LIMIT 1", "features")
+def _(spark, folder):
+    shares = md.importances(md.fit_trees(features(spark, folder), SMALL))
+    return shares.agg(
+        F.countDistinct("feature").alias("names"), F.round(F.sum("importance"), 6).alias("total"), F.expr("count_if(importance < 0)").alias("negative")
+    )
+
+
+@register("m15_tuned_is_the_refit", _ALL_EQUAL, "features")
+def _(spark, folder):
+    """The tuned model is the one that the settings of the best stored trial give on all rows."""
+    df, home = features(spark, folder), fresh_path(spark, "tuning")
+    score = md.cross_validated_score(folds=2, patience=0, row_key=ROW_KEY)
+    tuned = md.tune(df, home, 1, _SPACE, 1.0, score, ROW_KEY)
+    best = md.best_trial(spark.read.parquet(f"{home}/trials")).first().asDict()
+    again = md.fit_trees(df, md.TreeSettings(**{k: best[k] for k in md.asdict(md.TreeSettings())}))
+    return _differing(md.predict(tuned, df), md.predict(again, df))
+
+
+@register("m17_baseline_where_nothing_is_tuned", _ALL_EQUAL, "features")
+def _(spark, folder):
+    df, home = features(spark, folder), fresh_path(spark, "models")
+    model = md.fit_trees(df, SMALL)
+    model.write().overwrite().save(f"{home}/baseline")
+    return _differing(md.predict(model, df), md.predict(md.load_model([f"{home}/tuned", f"{home}/baseline"]), df))
+
+
 _METRICS = """SELECT fold, round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
     round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall
     FROM (SELECT {fold} AS fold, count(*) FILTER (p > 0.5 AND is_late = 1) AS tp,

@@ -12,12 +12,13 @@ from checks.oracle_features import HOLIDAY_LIST
 from checks.oracle_tables import define
 from checks.queries_modeling import SMALL, features
 from checks.registry import register, rounded
+from orderlens.plans import ensemble as en
 from orderlens.plans import features as fe
 from orderlens.plans import modeling as md
 from orderlens.plans import scoring as sc
 from orderlens.plans.dataset import analytical_dataset
 from orderlens.sources.marketplace import marketplace_from_star
-from orderlens.sources.staging import fresh_path
+from orderlens.sources.staging import fresh_path, staged
 from orderlens.streaming import scoring as stream
 
 CAPS = {"total_price": 100000.0, "total_freight": 9000.0, "dist_backlog_ratio": 6.0, "required_velocity": 0.6}
@@ -293,6 +294,31 @@ def _(spark, folder):
     return sc.top_factors(ready, scorer, columns, baseline)
 
 
+@register("p06_additive_factors", "SELECT order_id, 3::BIGINT AS factors, true AS adds_up FROM scored", "scored")
+def _(spark, folder):
+    """Per request: its three largest contributions, and whether all of them and the base are the log-odds of its probability."""
+    _, model, caps = _fitted(spark, folder)
+    columns = sc.model_columns(model)
+    ready = staged(sc.aligned(sc.request_features(_valid(spark, folder), caps), columns, ["order_id"]), "requests")
+    plain = md.without_gaps(ready)
+    parts = en.contributions(model, plain, ["order_id"]).selectExpr("order_id", "base + aggregate(parts, 0D, (s, p) -> s + p.contribution) AS total")
+    top = en.top_contributions(model, plain, "order_id").groupBy("order_id").agg(F.count("rank").alias("factors"))
+    both = sc.model_scorer(model)(ready).select("order_id", "late_probability").join(parts, "order_id").join(top, "order_id")
+    return both.selectExpr("order_id", "factors", "abs(total - ln(late_probability / (1 - late_probability))) < 1e-9 AS adds_up")
+
+
+@register(
+    "p_model_stream_equals_batch", "SELECT count(*) AS rows, 0::BIGINT AS differing FROM scored", "scored"
+)
+def _(spark, folder):
+    _, model, caps = _fitted(spark, folder)
+    columns, scorer = sc.model_columns(model), sc.model_scorer(model)
+    streamed, _ = _streamed(spark, folder, scorer, columns, caps)
+    batch = sc.with_risk(sc.score_requests(_valid(spark, folder), scorer, columns, caps))
+    both = streamed.select("order_id", F.col("delay_probability").alias("p")).join(batch.select("order_id", F.col("delay_probability").alias("q")), "order_id", "full")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.expr("count_if(NOT p <=> q)").alias("differing"))
+
+
 @register("p_model_stream")
 def _(spark, folder):
     _, model, caps = _fitted(spark, folder)

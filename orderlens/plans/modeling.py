@@ -25,6 +25,7 @@ from orderlens.operators.hash_order import first_rows, with_rank
 from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
 from orderlens.plans.ensemble import first_trees, round_curve
 from orderlens.plans.features import fit_thresholds, present_categoricals
+from orderlens.plans.target_stats import category_table, ordered_statistics, with_statistics
 from orderlens.sources.artifacts import append_run, write_importances, write_settings, write_thresholds
 from orderlens.sources.staging import staged
 
@@ -76,7 +77,8 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = SEED, row_key: Seque
 
 
 def _encoder(df: DataFrame) -> tuple[list[StringIndexer | VectorAssembler], list[str]]:
-    categorical = present_categoricals(df)
+    kinds = dict(df.dtypes)
+    categorical = [c for c in present_categoricals(df) if kinds[c] == "string"]
     inputs = [f"{c}_index" if c in categorical else c for c in feature_columns(df)]
     indexers = [
         StringIndexer(
@@ -111,6 +113,30 @@ def fit_trees(train: DataFrame, settings: TreeSettings, validation_column: str |
     return PipelineModel(stages=[*encoder.stages, model])
 
 
+@dataclass(frozen=True)
+class FittedOnStatistics:
+    """Trees over target statistics, and the table that turns categories into them."""
+
+    model: PipelineModel
+    categories: DataFrame
+    columns: tuple[str, ...]
+
+
+def fit_on_statistics(train: DataFrame, settings: TreeSettings, row_key: Sequence[str] = (ID,)) -> FittedOnStatistics:
+    """Boost with each category as its smoothed late rate: of earlier rows in hash order for training, of all for scoring.
+
+    No category is listed on the driver and trees need no bin for each one.
+    """
+    columns = tuple(present_categoricals(train))
+    numbers = ordered_statistics(train, columns, LABEL, row_key, settings.seed)
+    table = staged(category_table(train, columns, LABEL), "category-table")
+    return FittedOnStatistics(fit_trees(staged(numbers, "target-numbers"), settings), table, columns)
+
+
+def predict_on_statistics(fitted: FittedOnStatistics, features: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
+    return predict(fitted.model, with_statistics(features, fitted.categories, fitted.columns), keep)
+
+
 def trees_of(model: PipelineModel) -> GBTClassificationModel:
     return model.stages[-1]
 
