@@ -334,7 +334,7 @@ def _(spark, folder):
     return md.sample_rows(_orders(spark, folder), 0.3)
 
 
-_SPACE = md.SearchSpace(rounds=(2, 3), depth=(2, 3), learning_rate=(0.1, 0.3))
+_SPACE = md.SearchSpace(rounds=(2, 3), depth=(2, 3), learning_rate=(0.1, 0.3), min_rows=(1, 4))
 
 
 @register("m14_search_with_resume")
@@ -345,6 +345,23 @@ def _(spark, folder):
     return md.search(df, path, 2, _SPACE, 0.5, score, ROW_KEY)
 
 
+@register("m14_resumed_equals_whole", "SELECT 13::BIGINT AS trials, 0::BIGINT AS differing FROM features LIMIT 1", "features")
+def _(spark, folder):
+    """A search that stops and goes on tries what one run tries; the score is a formula of the settings and the rows."""
+    late = md.base_rate(features(spark, folder)).first()["late_percent"]
+    df = spark.range(1)
+
+    def score(_, s):
+        return late / (1 + abs(s.depth - 6) + abs(s.learning_rate - 0.05) + s.rounds / 1000)
+
+    whole, parts = fresh_path(spark, "trials"), fresh_path(spark, "trials")
+    md.search(df, whole, 13, score=score)
+    md.search(df, parts, 11, score=score)
+    md.search(df, parts, 13, score=score)
+    a, b = (spark.read.parquet(p) for p in (whole, parts))
+    return a.select(F.count(F.lit(1)).alias("trials")).withColumn("differing", F.lit(a.exceptAll(b).count() + b.exceptAll(a).count()).cast("long"))
+
+
 @register("m15_tuned_model")
 def _(spark, folder):
     df, home = features(spark, folder), fresh_path(spark, "tuning")

@@ -2,14 +2,12 @@
 
 Spark's gradient-boosted trees stand in for the boosted trees users trained before; settings without
 a counterpart (L2 on leaves, random strength, bagging temperature) are replaced by the subsampling
-rate. Nothing puts a label with most of the rows into one task: folds and exact samples go by hash
+rate, the least rows of a node and the share of features a node may split on. Nothing puts a label with most of the rows into one task: folds and exact samples go by hash
 prefixes, average precision by ``with_history``.
 """
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
@@ -25,6 +23,7 @@ from orderlens.operators.hash_order import first_rows, with_rank
 from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
 from orderlens.plans.ensemble import first_trees, round_curve
 from orderlens.plans.features import fit_thresholds, present_categoricals
+from orderlens.plans.parzen import Range, suggest
 from orderlens.plans.target_stats import category_table, ordered_statistics, with_statistics
 from orderlens.sources.artifacts import append_run, write_importances, write_settings, write_thresholds
 from orderlens.sources.staging import staged
@@ -43,6 +42,8 @@ class TreeSettings:
     depth: int = 6
     learning_rate: float = 0.05
     subsampling: float = 1.0
+    min_rows: int = 1  # rows that a node must have
+    feature_share: float = 1.0  # of the features, drawn anew for each node
     seed: int = SEED
 
 
@@ -105,7 +106,8 @@ def fit_trees(train: DataFrame, settings: TreeSettings, validation_column: str |
     booster = GBTClassifier(
         labelCol=LABEL, featuresCol="features", weightCol="_weight", maxIter=settings.rounds,
         maxDepth=settings.depth, stepSize=settings.learning_rate, subsamplingRate=settings.subsampling,
-        seed=settings.seed, maxBins=max(32, *(n + 1 for n in sizes)) if sizes else 32,
+        minInstancesPerNode=settings.min_rows, seed=settings.seed,
+        featureSubsetStrategy="all" if settings.feature_share >= 1.0 else repr(settings.feature_share), maxBins=max(32, *(n + 1 for n in sizes)) if sizes else 32,
     )
     if validation_column:
         booster = booster.setValidationIndicatorCol(validation_column)
@@ -307,23 +309,29 @@ def train(
 # ---------------------------------------------------------------- tuning
 @dataclass(frozen=True)
 class SearchSpace:
-    """Ranges of the search; the learning rate is drawn on a logarithmic scale."""
+    """Ranges of the search; the learning rate and the rows of a node are drawn on a logarithmic scale."""
 
     rounds: tuple[int, int] = (200, 1000)
     depth: tuple[int, int] = (4, 10)
     learning_rate: tuple[float, float] = (0.01, 0.3)
     subsampling: tuple[float, float] = (0.5, 1.0)
+    min_rows: tuple[int, int] = (1, 50)
+    feature_share: tuple[float, float] = (0.4, 1.0)
 
-    def draw(self, trial: int, seed: int = SEED) -> TreeSettings:
-        """The settings of a trial depend on its number only, so a search can be resumed."""
-        r = random.Random(seed * 1_000_003 + trial)
-        low, high = (math.log(x) for x in self.learning_rate)
-        return TreeSettings(
-            r.randint(*self.rounds), r.randint(*self.depth), math.exp(r.uniform(low, high)), r.uniform(*self.subsampling), seed
-        )
+    def ranges(self) -> dict[str, Range]:
+        whole, logarithmic = ("rounds", "depth", "min_rows"), ("learning_rate", "min_rows")
+        return {n: Range(*v, logarithmic=n in logarithmic, whole=n in whole) for n, v in asdict(self).items()}
+
+    def draw(self, trial: int, done: Sequence[Mapping[str, float]] = (), seed: int = SEED) -> TreeSettings:
+        """The settings of a trial, given the finished trials (``pr_auc`` and the settings) of smaller number."""
+        earlier = sorted((d for d in done if d["trial"] < trial), key=lambda d: d["trial"])
+        found = suggest(self.ranges(), earlier, [d["pr_auc"] for d in earlier], trial, seed)
+        return TreeSettings(**found, seed=seed)
 
 
-TRIAL_SCHEMA = "trial int, pr_auc double, rounds int, depth int, learning_rate double, subsampling double, seed int"
+TRIAL_SCHEMA = (
+    "trial int, pr_auc double, rounds int, depth int, learning_rate double, subsampling double, min_rows int, feature_share double, seed int"
+)
 Score = Callable[[DataFrame, TreeSettings], float]
 
 
@@ -345,10 +353,10 @@ def search(
     score: Score | None = None,
     row_key: Sequence[str] = (ID,),
 ) -> DataFrame:
-    """Random search for the best mean average precision.
+    """Search for the best mean average precision, each trial guided by the finished ones (see ``parzen``).
 
     Each finished trial is appended to the table at ``trials_path``; trials already there are not
-    repeated, so an interrupted search goes on where it stopped.
+    repeated, so an interrupted search goes on where it stopped, with the settings it would have tried.
     """
     spark = features.sparkSession
     score = score or cross_validated_score(row_key=row_key)
@@ -356,15 +364,16 @@ def search(
     empty = spark.createDataFrame([], TRIAL_SCHEMA)
     empty.write.mode("append").parquet(trials_path)
     table = spark.read.schema(TRIAL_SCHEMA).parquet(trials_path)
-    done = {r["trial"] for r in table.select("trial").collect()}  # one row per trial
+    done = {r["trial"]: r.asDict() for r in table.collect()}  # one row per trial
     for trial in range(trials):
         if trial in done:
             continue
-        settings = space.draw(trial)
+        settings = space.draw(trial, list(done.values()))
         found = {"trial": trial, "pr_auc": float(score(tuned_on, settings)), **asdict(settings)}
         spark.createDataFrame([tuple(found[f.name] for f in empty.schema)], empty.schema).coalesce(1).write.mode(
             "append"
         ).parquet(trials_path)
+        done[trial] = found
     return spark.read.schema(TRIAL_SCHEMA).parquet(trials_path)
 
 
@@ -396,5 +405,6 @@ def tune(
 def settings_from(values: Mapping[str, float]) -> TreeSettings:
     """Settings read back from their artifact."""
     return TreeSettings(
-        int(values["rounds"]), int(values["depth"]), float(values["learning_rate"]), float(values["subsampling"])
-    )
+        int(values["rounds"]), int(values["depth"]), float(values["learning_rate"]), float(values["subsampling"]),
+        int(values.get("min_rows", 1)), float(values.get("feature_share", 1.0)),
+    )

@@ -54,11 +54,13 @@ def test_class_weights(spark):
     assert {r[0]: r[1] for r in df} == {0: 1.0, 1: 10.0}
 
 
-def test_search_settings_depend_on_the_trial_only():
+def test_search_settings_depend_on_earlier_trials_only():
     space = md.SearchSpace()
     assert space.draw(3) == space.draw(3) != space.draw(4)
+    done = [{"trial": i, "pr_auc": 1 / (1 + abs(s.depth - 6)), **md.asdict(s)} for i, s in ((i, space.draw(i)) for i in range(14))]
+    assert space.draw(12, done) == space.draw(12, done[:12]) != space.draw(12)
     s = space.draw(11)
-    assert 200 <= s.rounds <= 1000 and 4 <= s.depth <= 10 and 0.01 <= s.learning_rate <= 0.3
+    assert 200 <= s.rounds <= 1000 and 4 <= s.depth <= 10 and 0.01 <= s.learning_rate <= 0.3 and 1 <= s.min_rows <= 50
 
 
 def test_search_goes_on_where_it_stopped(spark, tmp_path):
