@@ -33,6 +33,7 @@ from orderlens.sources.staging import broadcast_if_small, discard
 WIDTH = 50
 GRAM = 24
 BATCH_BYTES = 1 << 20
+BUCKET_BYTES = 8 << 20  # of text, whose anchors' hashes one task brings together at a time
 MOST_CONTEXTS = 20_000
 
 _NO_ID = -(1 << 63)  # stands for a null id
@@ -158,13 +159,20 @@ def _binary(arrays) -> pa.Array:
     return pa.array([a.tobytes() for a in arrays], pa.binary())
 
 
+def _turned(h: np.ndarray) -> np.ndarray:
+    """The hash with its halves changed over; doing it twice gives the hash. Anchors are small in their high bits, so ranges
+    of hashes as they are would put most of them into the first bucket."""
+    return (h << np.uint64(32)) | (h >> np.uint64(32))
+
+
 def _send_anchors(width: int, buckets: int):
-    """Distinct anchor hashes of a batch by bucket, and which of them two of its documents have."""
+    """Distinct anchor hashes (turned) of a batch by bucket, and which of them two of its documents have."""
 
     def run(table: pa.Table) -> pa.Table:
         raw, at = utf8(table.column("_raw"))
         ids = table.column("_id").combine_chunks().fill_null(_NO_ID).to_numpy()
         place, h = anchors(raw, at, width)
+        h = _turned(h)
         doc = ids[np.searchsorted(at, place, "right") - 1]
         order = np.lexsort((doc, h))
         h, doc = h[order], doc[order]
@@ -238,7 +246,7 @@ def _survivors(width: int):
 
     def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
         known = [np.frombuffer(b, np.uint64) for b in shared.column("h").to_pylist()]
-        known = np.concatenate(known) if known else np.zeros(0, np.uint64)
+        known = _turned(np.concatenate(known)) if known else np.zeros(0, np.uint64)
         raw, at, h, x, doc, row, place, left, right = _batch(docs, width, lambda found: np.isin(found, known))
         batch = docs.column("_b")[0].as_py() if docs.num_rows else 0
         return pa.table({
@@ -403,7 +411,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     dealt, copies, total = _batches_by_key(docs, id_col, text_col)
     reach = width - GRAM
     n = parts_for(spark, total)
-    buckets = max(1, -(-total // (16 << 20)))
+    buckets = max(1, -(-total // BUCKET_BYTES))
     sent = dealt.groupBy("_b").applyInArrow(
         _send_anchors(width, buckets), "bucket int, batch int, h binary, several binary"
     )
