@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.registry import register, rounded
+from orderlens.operators.neighbours import neighbour_information
 from orderlens.plans import features as fe
 from orderlens.plans import reports as rp
 from orderlens.plans.dataset import ANALYTICAL_TYPES, analytical_dataset
@@ -299,6 +300,46 @@ def _(spark, folder):
     return rounded(found.withColumnRenamed("column", "column_name"))
 
 
+def _digamma(n: str) -> str:
+    x = f"({n} + 8.0)"
+    steps = " + ".join(f"1.0 / ({n} + {i}.0)" for i in range(8))
+    return f"(ln({x}) - 0.5 / {x} - 1 / (12 * {x} * {x}) + 1 / (120 * pow({x}, 4)) - 1 / (252 * pow({x}, 6)) + 1 / (240 * pow({x}, 8)) - ({steps}))"
+
+
+def _neighbours_sql(c: str) -> str:
+    near = ", ".join(f"{f}(v, {i}) OVER (PARTITION BY is_late ORDER BY v)" for i in (1, 2, 3) for f in ("lag", "lead"))
+    return f"""SELECT '{c}' AS column_name, count(*) AS rows,
+        round(greatest(0, {_digamma('count(*)')} + {_digamma('3.0')} - avg({_digamma('mine')}) - avg({_digamma('m')})), 6) AS information
+        FROM (SELECT order_id, any_value(mine) AS mine, count(*) AS m
+              FROM (SELECT *, CASE WHEN edge > v THEN edge ELSE v + r END AS hi, CASE WHEN edge < v THEN edge ELSE v - r END AS lo
+                    FROM (SELECT *, kth.d AS r, kth.p AS edge FROM (
+                        SELECT *, list_sort(list_filter([CASE WHEN q IS NULL THEN NULL ELSE {{'d': abs(q - v), 'p': q}} END FOR q IN near],
+                               lambda z: z IS NOT NULL))[3] AS kth
+                        FROM (SELECT *, [{near}] AS near, count(*) OVER (PARTITION BY is_late) AS mine FROM moved_{c}))) WHERE mine > 3) a
+              JOIN (SELECT v AS w FROM moved_{c}) b ON w < hi AND w > lo GROUP BY order_id)"""
+
+
+_MOVED = "CAST(concat('0x', substr(md5(order_id), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE - 0.5"
+
+
+@register(
+    "a18_neighbour_information",
+    f"SELECT * FROM (WITH complete AS MATERIALIZED (SELECT DISTINCT order_id, is_late, {', '.join(_MI)} FROM plain_dataset WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _MI)}), "
+    + ", ".join(
+        f"moved_{c} AS MATERIALIZED (SELECT order_id, is_late, {c}::DOUBLE + ({_MOVED}) * 1e-9::DOUBLE * greatest(1.0::DOUBLE, abs({c}::DOUBLE)) AS v FROM complete)"
+        for c in _MI
+    )
+    + " "
+    + " UNION ALL ".join(_neighbours_sql(c) for c in _MI)
+    + ")",
+    "plain_dataset",
+)
+def _(spark, folder):
+    df = analytical_dataset(marketplace_from_star(spark, folder), ["order_id", "is_late", *_MI], dedupe_reviews=True)
+    found = neighbour_information(df, _MI, "is_late", ["order_id"])
+    return rounded(found.withColumnRenamed("column", "column_name"))
+
+
 @register(
     "a19_distance_histograms",
     f"""SELECT * FROM (WITH src AS (SELECT distance_km FROM plain_dataset)
