@@ -12,6 +12,7 @@ from checks.oracle_features import HOLIDAY_LIST
 from checks.oracle_tables import define
 from checks.queries_modeling import SMALL, features
 from checks.registry import register, rounded
+from orderlens.functions.labels import FEATURE_LABELS, feature_label, risk_sentence
 from orderlens.plans import ensemble as en
 from orderlens.plans import features as fe
 from orderlens.plans import modeling as md
@@ -230,6 +231,43 @@ def _(spark, folder):
     return sc.with_advanced_flag(form).select("order_id", "is_advanced")
 
 
+_LABELS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FEATURE_LABELS.items() if k in COLUMNS)
+
+
+@register(
+    "f10_factor_sentences",
+    f"""SELECT order_id, rank, label, label || CASE WHEN direction = 'increasing' THEN ': This is contributing to a higher risk of delay.'
+               WHEN feature = 'required_velocity' THEN ': This factor is in an optimal state for on-time delivery.'
+               ELSE ': This is significantly helping to keep the delivery on time.' END AS sentence
+        FROM (SELECT order_id, CAST(r AS INTEGER) AS rank, feature, CASE feature {_LABELS} WHEN 'total_price' THEN 'Total Price'
+                  WHEN 'lead_time_days_estimated' THEN 'Lead Time Days Estimated' END AS label,
+                  CASE WHEN d >= 0 THEN 'increasing' ELSE 'decreasing' END AS direction
+              FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY -abs(d), feature) AS r FROM ({_impact_sql()}))
+              WHERE r <= 3)""",
+    "scored",
+)
+def _(spark, folder):
+    """Names from the label map and names spelled out, in both directions, with the wording of velocities."""
+    ready = sc.request_features(_valid(spark, folder), CAPS)
+    top = sc.top_factors(sc.aligned(ready, COLUMNS, ["order_id"]), formula_scorer, COLUMNS, _BASELINE)
+    return top.select("order_id", "rank", feature_label("feature").alias("label"), risk_sentence("feature", "direction").alias("sentence"))
+
+
+@register(
+    "p10_alerts_per_mille",
+    """SELECT order_id, CASE WHEN r > 0.5 THEN 'High Risk Alert: Predicted delay probability is ' || t
+               || '%. Immediate intervention required.'
+           WHEN r > 0.3 THEN 'Warning: Moderate risk detected (' || t || '%). Monitor closely.'
+           ELSE 'Success: Low risk delivery (' || t || '%). On-time arrival expected.' END AS alert
+       FROM (SELECT order_id, round(p, 3) AS r, printf('%.1f', round(p, 3) * 100) AS t FROM scored)""",
+    "scored",
+)
+def _(spark, folder):
+    # Three digits make percentages with one decimal, which both engines print alike.
+    fine = sc.with_risk(_scored(spark, folder)).withColumn("delay_probability", F.expr("round(late_probability, 3)"))
+    return sc.with_alert(fine).select("order_id", "alert")
+
+
 @register(
     "p10_alerts",
     """SELECT order_id, CASE WHEN r > 0.5 THEN 'High Risk Alert: Predicted delay probability is ' || t

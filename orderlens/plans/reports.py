@@ -48,10 +48,12 @@ def late_rate_by(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _largest(df: DataFrame, key: str, k: int) -> DataFrame:
-    """The ``k`` most frequent values of a key (``k`` rows)."""
-    sizes = _known(df, key).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return sizes.orderBy(F.desc("_rows"), key).limit(k).select(key)
+def _late_counts(df: DataFrame, key: str) -> DataFrame:
+    """Staged ``(key, late, labelled, rows)`` with a row for NULL: the data is read once, whatever is made of it after."""
+    counted = df.groupBy(key).agg(
+        F.sum("is_late").alias("late"), F.count("is_late").alias("labelled"), F.count(F.lit(1)).alias("rows")
+    )
+    return staged(counted, "late-counts")
 
 
 # ---------------------------------------------------------------- data quality and label
@@ -155,14 +157,17 @@ def top_late_categories(df: DataFrame, k: int = 10) -> DataFrame:
 
 def customer_state_rates(df: DataFrame) -> DataFrame:
     """Late rate per customer state beside the national average."""
-    national = df.agg(F.avg("is_late").alias("national"))
-    return late_rate_by(df, "customer_state").withColumn("national_rate", national.scalar())
+    counts = _late_counts(df, "customer_state")
+    national = counts.agg(F.expr("try_divide(CAST(sum(late) AS double), sum(labelled))").alias("national"))
+    rates = _known(counts, "customer_state").selectExpr("customer_state", "try_divide(CAST(late AS double), labelled) AS late_rate", "rows")
+    return rates.withColumn("national_rate", national.scalar())
 
 
 def category_rates(df: DataFrame, k: int) -> DataFrame:
     """Late rate of the ``k`` biggest categories."""
-    biggest = F.broadcast(_largest(df, "product_category", k))  # k rows
-    return late_rate_by(df.join(biggest, "product_category", "left_semi"), "product_category")
+    counts = _known(_late_counts(df, "product_category"), "product_category")
+    biggest = counts.orderBy(F.desc("rows"), "product_category").limit(k)
+    return biggest.selectExpr("product_category", "try_divide(CAST(late AS double), labelled) AS late_rate", "rows")
 
 
 def seller_state_rates(df: DataFrame, more_than: int = 50) -> DataFrame:
@@ -286,7 +291,8 @@ def review_score_rates(features: DataFrame) -> DataFrame:
 
 def _distance_pivot(features: DataFrame, column: str, edges: Sequence[float], labels: Sequence[str]) -> DataFrame:
     """Late rate by distance third (rows) and bin (columns)."""
-    rows = dist.value_rows(features, ["distance_km"])
+    kept = staged(features.select("distance_km", column, "is_late"), "pivot-rows")  # read for the thirds and for the cells
+    rows = dist.value_rows(kept, ["distance_km"])
     thirds = dist.quantile_table(rows, {"first": 1 / 3, "second": 2 / 3}).first()
     if thirds is None:
         raise ValueError("no distances to cut into thirds")
@@ -294,7 +300,7 @@ def _distance_pivot(features: DataFrame, column: str, edges: Sequence[float], la
         f"CASE WHEN distance_km <= {thirds['first']!r}D THEN 'Short' "
         f"WHEN distance_km <= {thirds['second']!r}D THEN 'Medium' WHEN distance_km IS NOT NULL THEN 'Long' END"
     )
-    binned = features.select(
+    binned = kept.select(
         F.expr(third).alias("distance_third"), right_closed_bin(column, edges, labels).alias("_bin"), "is_late"
     )
     return (
