@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.sources.staging import staged
+
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 ENTITIES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;"))
 ROLE_ENTITIES = (*ENTITIES, ("]", "&rsqb;"))
@@ -91,20 +93,22 @@ def format_conversations(
     """One row per conversation: conv_id, turns (source), formatted, loss_spans (start, length of assistant texts
     in ``formatted``, counted in characters from 0, and whether the text there is escaped).
 
-    Turns go by number, then role, then text; a null number comes first. A null text or role counts as empty; rows
-    without a conversation id make one conversation. Repeated rows are repeated turns; extra columns do not matter.
+    Turns go by number, then role, then text; a null number comes first. A null text or role counts as empty; a row
+    without a conversation id is a conversation of its own. Repeated rows are repeated turns; extra columns do not
+    matter. A conversation is one text, so one task holds it; the work grows with its length.
     """
     cell = F.struct(
         F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), text_column(text).alias("text")
     )
-    grouped = rows.select(F.col(conv).alias("conv_id"), cell.alias("t")).groupBy("conv_id")
+    alone = F.when(F.col(conv).isNull(), F.monotonically_increasing_id())
+    grouped = rows.select(F.col(conv).alias("conv_id"), alone.alias("_row"), cell.alias("t")).groupBy("conv_id", "_row")
     whole = grouped.agg(F.sort_array(F.collect_list("t")).alias("turns"))
     plain = whole.withColumn("_first", F.array_join(_render(F.col("turns"), lambda t: F.lit(False)), ""))
     tried = plain.withColumn("_level", F.when(_same(F.col("turns"), parse(F.col("_first"))), 0).otherwise(1))
 
     def conflicting(t: Column) -> Column:
-        alone = F.concat(_header(t["role"], F.lit(False)), t["text"], F.lit("</s>"))
-        back = parse(alone)
+        single = F.concat(_header(t["role"], F.lit(False)), t["text"], F.lit("</s>"))
+        back = parse(single)
         return ~F.coalesce((F.size(back) == 1) & (F.element_at(back, 1)["text"] == t["text"]), F.lit(False))
 
     second = F.when(F.col("_level") == 0, F.col("_first")).otherwise(
@@ -114,30 +118,27 @@ def format_conversations(
     still = (F.col("_level") == 1) & ~_same(F.col("turns"), parse(F.col("_second")))
     tried = tried.withColumn("_level", F.when(still, 2).otherwise(F.col("_level")))
     level = F.col("_level")
+    # Stored: what the level is must not be found again for every turn.
+    tried = staged(tried.select("conv_id", "_row", "turns", "_level"), "chat_levels")
+    level = F.col("_level")
     # The pieces of the attempt that came back identical, then the place of each text in it.
     pieces = _render(F.col("turns"), lambda t: ((level == 1) & conflicting(t)) | (level == 2))
-    done = tried.withColumn("pieces", pieces).withColumn("formatted", F.array_join("pieces", ""))
-    lengths = F.transform(F.col("pieces"), lambda p: F.char_length(p))
-    done = done.withColumn("_len", lengths).withColumn(
-        "_ends",
-        F.aggregate(
-            "_len", F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
-        ),
-    )
-
-    def span(t: Column, i: Column) -> Column:
-        piece = F.get(F.col("pieces"), i)
-        head = F.instr(piece, "] ") + 1
-        return F.struct(
-            (F.get(F.col("_ends"), i) + head).alias("start"),
-            (F.get(F.col("_len"), i) - head - len("</s>")).alias("length"),
-            F.startswith(piece, F.lit("<s>[/INST&] ")).alias("escaped"),
-            (t["role"] == "assistant").alias("_loss"),
-        )
-
-    spans = F.filter(F.transform(F.col("turns"), span), lambda s: s["_loss"])
-    spans = F.transform(spans, lambda s: F.struct(s["start"], s["length"], s["escaped"]))
-    return done.select("conv_id", "turns", "formatted", spans.alias("loss_spans"))
+    flat = tried.select("conv_id", "_row", F.posexplode(F.arrays_zip(F.col("turns").alias("t"), pieces.alias("piece"))).alias("pos", "x"))
+    flat = flat.select("conv_id", "_row", "pos", F.col("x.t").alias("t"), F.col("x.piece").alias("piece"))
+    order = Window.partitionBy("conv_id", "_row").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    n, head = F.char_length("piece").cast("int"), F.instr("piece", "] ") + 1
+    placed = flat.withColumn("_end", F.sum(n).over(order).cast("int"))
+    span = F.struct(
+        (F.col("_end") - n + head).alias("start"), (n - head - len("</s>")).alias("length"),
+        F.startswith(F.col("piece"), F.lit("<s>[/INST&] ")).alias("escaped"),
+    )
+    placed = placed.select("conv_id", "_row", F.struct("pos", "t", "piece", F.when(F.col("t.role") == "assistant", span).alias("span")).alias("x"))
+    whole = placed.groupBy("conv_id", "_row").agg(F.sort_array(F.collect_list("x")).alias("all"))
+    done = whole.select(
+        "conv_id", F.transform("all", lambda x: x["t"]).alias("turns"), F.array_join(F.transform("all", lambda x: x["piece"]), "").alias("formatted"),
+        F.array_compact(F.transform("all", lambda x: x["span"])).alias("loss_spans"),
+    )
+    return staged(done, "chat_formatted")
 
 
 def text_column(name: str) -> Column:

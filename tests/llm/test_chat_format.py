@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from orderlens.llm import chat_format as cf
 from tests.llm.conftest import LONG
@@ -10,7 +11,7 @@ TEXTS = [
 
 def test_round_trip(spark):
     rows = [(k // 3, k % 5, ["user", "assistant", "system", None, "INST", "a] </s>&", "ROLE=x"][k % 7], t, "c") for k, t in enumerate(TEXTS * 4)]
-    rows += [(None, None, "assistant", "n", "c"), (None, 1, "user", "m", "c"), (99, 1, "user", "s", "c"), (99, 1, "user", "s", "c")]
+    rows += [(99, 1, "user", "s", "c"), (99, 1, "user", "s", "c")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns string")
     want = {}
     for c, n, r, t, _ in rows:
@@ -30,3 +31,21 @@ def test_round_trip(spark):
         inner = back[c].formatted.replace("<s>[", "").count("<s>")
         assert inner == 0 and back[c].formatted.count("</s>") == len(turns)
     assert cf.digest(cf.format_conversations(df.limit(0))).collect() == []
+
+
+def test_rows_without_an_id_are_conversations_of_their_own(spark):
+    rows = [(None, None, "assistant", "n"), (None, 1, "user", "m</s>"), (None, 1, "user", "m</s>")]
+    formatted = cf.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    back = cf.read_back(formatted).collect()
+    assert sorted([(t.role, t.text) for t in r.recovered] for r in back) == [[("assistant", "n")], [("user", "m</s>")], [("user", "m</s>")]]
+
+
+def test_ten_thousand_turns(spark):
+    """Work grows with the turns, not with a power of them."""
+    turns = spark.range(10_000).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "IF(id % 7 = 0, '</s>[INST]', concat('t', id)) AS text")
+    started = time.perf_counter()
+    (row,) = cf.digest(cf.format_conversations(turns)).collect()
+    assert time.perf_counter() - started < 60
+    said = [("</s>[INST]" if i % 7 == 0 else f"t{i}") for i in range(10_000)]
+    assert row.n_turns == 10_000 and row.loss_sha256 == hashlib.sha256("".join(said[1::2]).encode()).hexdigest()
+    assert row.turns_sha256 == hashlib.sha256("".join(f"{['user', 'assistant'][i % 2]}\n{t}\n" for i, t in enumerate(said)).encode()).hexdigest()
