@@ -1,6 +1,6 @@
 """Exact deduplication by deterministic block naming; DataFrame operations only.
 
-A text is cut into blocks of a fixed number of characters. Distinct blocks are sorted into ranges and
+A text is cut into blocks of a fixed number of characters. Distinct blocks are sorted, in ranges of their hash, and
 numbered: equal blocks, and only they, get one integer name. Then adjacent pairs of names are named in
 the same way, again and again, until every text is one name. No step compares hashes in place of text,
 so the identity is free of collisions.
@@ -21,8 +21,12 @@ BLOCK_CHARS = 1024
 
 
 def _named(rows: DataFrame, *content: str) -> DataFrame:
-    """Distinct ``content`` with an integer name each; sorted in ranges, so names follow the order."""
-    ordered = rows.select(*content).distinct().repartitionByRange(*content).sortWithinPartitions(*content)
+    """Distinct ``content`` with an integer name each; sorted in ranges of its hash, then by itself, so names follow that order.
+
+    Ranges are found from a sample on the driver, which so gets eight bytes for a block and not its text.
+    """
+    at = F.xxhash64(*content)
+    ordered = rows.select(*content).distinct().repartitionByRange(at).sortWithinPartitions(at, *content)
     return settle(ordered.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
