@@ -190,8 +190,15 @@ def plan(histogram: dict[int, int], capacity: int = SEQUENCE) -> pd.DataFrame:
 
 
 def pack(cut: DataFrame, length: int = SEQUENCE, salts: int = SALTS) -> DataFrame:
-    """The rows of ``cut`` (see ``pieces``) with sequence_id and offset."""
-    cut = settle(cut, "pieces")
+    """The rows of ``cut`` (see ``pieces``) with sequence_id and offset.
+
+    A full piece, by far the commonest one of long texts, is a sequence of its own, numbered where it is read (below
+    zero); all others are planned and take their slots by rank.
+    """
+    every = settle(cut, "pieces")
+    full = every.where(F.col("length") == length)
+    full = full.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    cut = every.where(F.col("length") < length)
     salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     counts = settle(salted.groupBy("length", "_salt").count(), "lengths")
     # At most one row for each length up to the sequence length comes to the driver.
@@ -216,7 +223,7 @@ def pack(cut: DataFrame, length: int = SEQUENCE, salts: int = SALTS) -> DataFram
         return pd.DataFrame({"sequence_id": sequence[i] + at.to_numpy() - rank[i], "offset": offset[i]})
 
     placed = ranked.withColumn("_slot", slot("length", "_rank"))
-    return placed.select("*", "_slot.sequence_id", "_slot.offset").drop("_slot", "_rank")
+    return placed.select("*", "_slot.sequence_id", "_slot.offset").drop("_slot", "_rank").unionByName(full)
 
 
 def pack_documents(docs: DataFrame, path: str, with_ids: bool = False, length: int = SEQUENCE) -> DataFrame:
