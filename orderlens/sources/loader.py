@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens.sources.quoted_csv import OPTIONS, read_quoted
 from orderlens.sources.schemas import MULTILINE_TABLES, SCHEMAS, Marketplace
 
 EmptyNumeric = Literal["zero", "null"]
@@ -33,20 +34,14 @@ def load_csv_table(
     """Read one table: comma separated, double-quoted, one header row.
 
     Empty timestamps become NULL, empty text stays ``''`` and empty or unreadable numbers become
-    0 (``empty_numeric="null"`` keeps them NULL). Files without free text stay splittable.
+    0 (``empty_numeric="null"`` keeps them NULL). All files are split, those with line ends inside texts as well.
     """
     schema = SCHEMAS[table]
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = (
-        spark.read.schema(as_text)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("multiLine", table in MULTILINE_TABLES)
-        .csv(path)
-    )
+    if table in MULTILINE_TABLES:
+        raw = read_quoted(spark, path, as_text)
+    else:
+        raw = spark.read.schema(as_text).option("header", True).option("enforceSchema", True).options(**OPTIONS).csv(path)
     return raw.select(*[_typed(f, empty_numeric) for f in schema])
 
 
