@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.oracle_dataset import KM, ROUNDED_ANALYTICAL
@@ -9,7 +12,7 @@ from checks.registry import register, rounded
 from orderlens.functions.calendar import day_name, month_start, seconds_between, whole_days_between
 from orderlens.functions.labels import feature_label, risk_sentence
 from orderlens.operators.keycheck import key_report
-from orderlens.plans import facts, history
+from orderlens.plans import facts, history, incremental
 from orderlens.plans.dataset import ANALYTICAL_COLUMNS, ANALYTICAL_SCHEMA, analytical_dataset
 from orderlens.sources import sinks
 from orderlens.sources.artifacts import append_run, read_settings, read_thresholds, write_settings, write_thresholds
@@ -427,6 +430,36 @@ _register_seller_window("w03_seconds_since_last_order", "seconds_since_last_sell
 _register_seller_window("w05_seller_recent_delay_rate", "seller_recent_delay_rate")
 
 
+def _run_by_run(spark, folder, parts, condition, spec):
+    """One run a year of purchases, each from the state that the one before left."""
+    orders, _ = _stored_facts(marketplace_from_star(spark, folder), parts, condition)
+    ends = orders.agg(F.year(F.min(history.TS)).alias("first"), F.year(F.max(history.TS)).alias("last")).first()
+    home = fresh_path(spark, "history-state")
+    runs = [incremental.advance_stored(orders.where(F.year(history.TS) == y), spec, home) for y in range(ends["first"], ends["last"] + 1)]
+    return reduce(DataFrame.unionByName, runs)
+
+
+@register(
+    "w02_run_by_run",
+    """SELECT order_id, seller_id, round(seller_historical_delay_rate, 6) AS seller_historical_delay_rate,
+           round(seller_recent_delay_rate, 6) AS seller_recent_delay_rate, seconds_since_last_seller_order FROM h_seller""",
+    "h_seller",
+)
+def _(spark, folder):
+    rows = _run_by_run(spark, folder, {"items"}, "seller_id IS NOT NULL", incremental.SELLER)
+    rates = rows.selectExpr(
+        "order_id", "seller_id", "try_divide(CAST(_late AS double), _orders) AS seller_historical_delay_rate",
+        "try_divide(CAST(_late5 AS double), _orders5) AS seller_recent_delay_rate", "_last", history.TS,
+    )
+    return rounded(rates.withColumn("seconds_since_last_seller_order", seconds_between("_last", history.TS)).drop("_last", history.TS))
+
+
+@register("w04_run_by_run", "SELECT order_id, customer_total_orders FROM h_customer", "h_customer")
+def _(spark, folder):
+    rows = _run_by_run(spark, folder, {"customers"}, "has_customer", incremental.CUSTOMER)
+    return rows.selectExpr("order_id", "_orders + 1 AS customer_total_orders")
+
+
 @register("w04_customer_orders", "SELECT order_id, customer_total_orders FROM h_customer", "h_customer")
 def _(spark, folder):
     orders, rows = _stored_facts(marketplace_from_star(spark, folder), {"customers"}, "has_customer")
