@@ -6,8 +6,8 @@ separately, and what each part must know about earlier parts (sums so far, last
 The result is exact wherever the cuts fall, so they may come from a sample; the cuts themselves are
 written out once, so every branch of the plan and every retried task sees the same ones.
 
-Sizes: the cut table holds at most ``rows / rows_per_task`` cuts (plus one row per hot key), which is
-why it, and the per-part sums, may be broadcast.
+Sizes: the cut table holds at most ``rows / rows_per_task`` cuts (plus one row per hot key). It is written and counted, and
+it and the per-part sums are broadcast only up to ``MOST_CUTS`` rows; beyond that, joins on the key and block take over.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 _PART, _BLOCK, _LO, _HI = "_part", "_block", "_lo", "_hi"
 _SPREAD = 4096
+MOST_CUTS = 100_000
 
 
 def find_cuts(
@@ -60,7 +61,7 @@ def find_cuts(
     # A few sampled positions per wanted cut; every n-th of them, in order, becomes a cut.
     wanted = sizes.withColumn("_cuts", F.ceil(F.col("_n") / limit) - 1)
     thinned = (
-        seen.join(F.broadcast(wanted), list(key))
+        seen.join(_hinted(wanted, sizes.count()), list(key))
         .where(F.rand(policy.seed) * F.col("_n") < F.col("_cuts") * policy.points_per_cut)
         .select(*key, F.struct(*order).alias("_at"))
         .distinct()
@@ -88,6 +89,11 @@ def find_cuts(
     return staged(cuts, "cuts")
 
 
+def _hinted(table: DataFrame, rows: int) -> DataFrame:
+    """A broadcast hint for a table known to have few rows."""
+    return F.broadcast(table) if rows <= MOST_CUTS else table
+
+
 def _names(columns: Sequence[str], prefix: str = "") -> str:
     return ", ".join(f"{prefix}`{c}`" for c in columns)
 
@@ -96,24 +102,28 @@ def _known(key: Sequence[str]) -> str:
     return " AND ".join(f"`{k}` IS NOT NULL" for k in key)
 
 
-def _within(df: DataFrame, intervals: DataFrame, key: Sequence[str], order: Sequence[str], add: str, how: str) -> DataFrame:
+def _within(
+    df: DataFrame, intervals: DataFrame, rows: int, key: Sequence[str], order: Sequence[str], add: str, how: str
+) -> DataFrame:
     """Join every row to the one interval of its key that holds it; ``add`` is the interval's number."""
     same_key = " AND ".join(f"r.`{k}` = c.`{k}`" for k in key)
     at = f"struct({_names(order, 'r.')})"
     inside = f"(c.{_LO} IS NULL OR {at} >= c.{_LO}) AND (c.{_HI} IS NULL OR {at} < c.{_HI})"
     return (
         df.alias("r")
-        .join(F.broadcast(intervals.alias("c")), F.expr(f"{same_key} AND {inside}"), how)
+        .join(_hinted(intervals.alias("c"), rows), F.expr(f"{same_key} AND {inside}"), how)
         .selectExpr("r.*", f"c.{add}")
     )
 
 
-def _assign_parts(df: DataFrame, key: Sequence[str], order: Sequence[str], cuts: DataFrame, how: str) -> DataFrame:
+def _assign_parts(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], cuts: DataFrame, n_cuts: int, how: str
+) -> DataFrame:
     blocks = cuts.groupBy(*key, _BLOCK).agg(
         F.min_by(_LO, _PART).alias(_LO), F.max_by(_HI, _PART).alias(_HI)
     )
-    in_block = _within(df, blocks, key, order, _BLOCK, how)
-    return _within(in_block, cuts, [*key, _BLOCK], order, _PART, how).drop(_BLOCK)
+    in_block = _within(df, blocks, n_cuts, key, order, _BLOCK, how)
+    return _within(in_block, cuts, n_cuts, [*key, _BLOCK], order, _PART, how).drop(_BLOCK)
 
 
 def with_history(
@@ -149,8 +159,9 @@ def with_history(
     if cuts is None:
         part = "0"
     else:
-        hot = _assign_parts(rows, key, order, cuts, "inner")
-        rows = _assign_parts(rows, key, order, cuts, "left")
+        n_cuts = cuts.count()
+        hot = _assign_parts(rows, key, order, cuts, n_cuts, "inner")
+        rows = _assign_parts(rows, key, order, cuts, n_cuts, "left")
         part = f"coalesce({_PART}, 0)"
         carried = _carry_sums(hot, key, list(before), list(total))
         if recent or previous:
@@ -183,7 +194,7 @@ def with_history(
 
     value = {n: f"coalesce(`{n}`, 0)" for n in [*before, *recent, *total]}
     if carried is not None:
-        out = out.join(F.broadcast(carried), [*key, _PART], "left")
+        out = out.join(_hinted(carried, n_cuts), [*key, _PART], "left")
         value |= {n: f"coalesce(`{n}`, 0) + coalesce(`_add_{n}`, 0)" for n in before}
         value |= {n: f"coalesce(`_all_{n}`, `{n}`, 0)" for n in total}
     value |= {n: f"`{n}`" for n in previous}

@@ -24,11 +24,17 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     local = spark.sparkContext.master.split("[")[0] == "local"
-    if not local and (warehouse.startswith(("file:", "/"))):
+    if not local and _scheme(spark, warehouse) == "file":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{warehouse}/_staged"
 
 
+def _scheme(spark: SparkSession, path: str) -> str:
+    """The file system a path lies in; a path without a scheme lies in the default one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/orderlens/{label}-{uuid.uuid4().hex}"
 
