@@ -29,8 +29,6 @@ from orderlens.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
-LICENSE_CHARS = 2000  # the longest text that op2 takes for a licence file
-
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,15 +38,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files source/lang/<id div 1000>/<id div 100>/<id>.
 
-    A document with a licence match of its own and of at most ``LICENSE_CHARS`` characters is a licence file, LICENSE-<id>.
-    It lies 0 to 3 folders (id mod 4) above the folder that its id has otherwise, and gives to all below.
+    A document with a licence match of its own, whatever its length, is a licence file, LICENSE-<id>. It lies 0 to 3 folders
+    (id mod 4) above the folder that its id has otherwise, and gives to all below. A row without an id is a file named
+    ``null`` of its folder, scanned like any other; such rows share the best match.
     Returns doc_id, path, license, score, found_in, origin.
     """
     docs = table(spark, sf_dir, "documents")
     own = settle(license_scan.scan_texts(docs, path_col="doc_id").withColumnRenamed("path", "_id"), "own_ids")
-    name = F.col("doc_id").cast("string")
-    gives = F.col("license").isNotNull() & (F.char_length("text") <= LICENSE_CHARS)
-    above = F.when(gives, F.pmod("doc_id", F.lit(4))).otherwise(0)
+    docs = docs.withColumn("_name", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    own = own.withColumn("_id", F.coalesce("_id", F.lit("null")))
+    own = own.groupBy("_id").agg(F.max(F.struct("score", "license")).alias("b")).select("_id", "b.license", "b.score")
+    name = F.col("_name")
+    gives = F.col("license").isNotNull()
+    above = F.when(gives, F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0))).otherwise(0)
     folders = F.array_compact(F.array("source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 100).cast("string")))
     folders = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - above, F.lit(0)).cast("int"))
     path = F.concat_ws("/", folders, F.when(gives, F.concat(F.lit("LICENSE-"), name)).otherwise(name))
