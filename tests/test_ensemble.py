@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.plans import ensemble
 from orderlens.plans import modeling as md
+from orderlens.plans import scoring as sc
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +96,19 @@ def test_an_empty_table(rows, model):
     assert ensemble.round_curve(model, rows.limit(0), "is_late").collect() == []
     assert ensemble.contributions(model, rows.limit(0), ["order_id"]).collect() == []
     assert np.isfinite(ensemble.forest_of(model).value).all()
+
+
+def test_impacts_of_a_model_make_no_rows_of_variants(rows, model):
+    """The same factors as scoring every variant, with ties by name, copies of a key, gaps and an unseen baseline."""
+    some = rows.limit(60)
+    gap = some.limit(2).selectExpr("order_id", "is_late", "'elsewhere' AS product_category", "CAST(NULL AS double) AS total_price", "distance_km")
+    some = some.unionByName(gap).drop("is_late")
+    columns, baseline = sc.model_columns(model), {"product_category": "it's new", "total_price": 4.5, "distance_km": 8.0}
+    scorer = sc.model_scorer(model)
+    fast = sc.top_factors(some, scorer, columns, baseline)
+    plain = sc.top_factors(some, lambda df: scorer(df), columns, baseline)
+    assert fast.dtypes == plain.dtypes
+    found = sorted(map(tuple, fast.collect()))
+    assert found == sorted(map(tuple, plain.collect())) and len(found) == 3 * 62
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Aggregate" not in plan
