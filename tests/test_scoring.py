@@ -103,3 +103,13 @@ def test_stream_scores_like_a_batch(spark, requests, tmp_path):
     batch = sc.with_risk(sc.score_requests(valid, scorer, COLUMNS, {"total_price": 10.0}))
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, batch.collect()))
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+
+
+def test_streamed_requests_keep_all_cores_busy(spark, sf):
+    from checks import queries_scoring as qs
+
+    raw = qs.raw_requests(spark, sf)
+    scored, rejected = qs._streamed(spark, raw, qs.formula_scorer, qs.COLUMNS, qs.CAPS)
+    home = scored.inputFiles()[0].rsplit("/scored/", 1)[0]
+    assert len(spark.read.parquet(f"{home}/requests").inputFiles()) >= 2 * spark.sparkContext.defaultParallelism
+    assert scored.count() + rejected.count() == raw.count()
