@@ -2,7 +2,9 @@ import hashlib
 
 import pytest
 
+from orderlens.operators import hash_order
 from orderlens.operators.hash_order import first_rows, with_rank
+from orderlens.sources.staging import staged
 
 KEY = ("order_id", "part")
 
@@ -48,3 +50,12 @@ def test_rows_that_repeat_a_key_and_empty_tables(spark):
     assert first_rows(same, 0.3, ["order_id"], 42).count() == 30
     assert sorted(r["_rank"] for r in with_rank(same, ["part"], ["order_id"], 42).collect()) == sorted([*range(50), *range(50)])
     assert first_rows(same.limit(0), 0.5, ["order_id"], 42).collect() == [] == with_rank(same.limit(0), ["part"], KEY, 42).collect()
+
+
+def test_staged_rows_are_not_staged_again(spark, monkeypatch):
+    df, made = staged(rows_of(spark), "rows"), []
+    monkeypatch.setattr(hash_order, "staged", lambda df, label: made.append(label) or staged(df, label))
+    ranked, first = with_rank(df, ["late"], KEY, 42), first_rows(df, 0.3, KEY, 42)
+    assert "hash-rows" not in made
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, with_rank(rows_of(spark), ["late"], KEY, 42).collect()))
+    assert sorted(map(str, first.collect())) == sorted(map(str, first_rows(rows_of(spark), 0.3, KEY, 42).collect()))

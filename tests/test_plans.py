@@ -68,3 +68,39 @@ def test_cut_history_broadcasts_only_cuts_and_sums(spark):
 def test_unneeded_parts_are_not_joined(stored):
     plan = plan_of(analytical_dataset(stored, ["order_id", "total_price"]))
     assert "payment" not in plan and "geolocation" not in plan
+
+
+@pytest.fixture
+def all_shuffled(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_backlogs_count_stored_rows(spark, stored, tmp_path):
+    """What earlier histories have added is not computed again for the counts."""
+    df = facts.base_orders(stored.orders).selectExpr("*", "customer_id AS seller_state", "'x' AS customer_state")
+    df.write.parquet(str(tmp_path / "facts"))
+    kept = spark.read.parquet(str(tmp_path / "facts"))
+    one = history.with_seller_state_backlog(kept, at_most=kept.count(), looked_at=kept)
+    both = history.with_customer_state_backlog(one, at_most=kept.count(), looked_at=kept)
+    assert plan_of(both).count("Join") == 2
+    same = history.with_customer_state_backlog(history.with_seller_state_backlog(kept))
+    assert both.exceptAll(same).isEmpty() and both.count() == kept.count()
+
+
+def test_items_are_shuffled_by_order_once(spark, sf, all_shuffled):
+    items = marketplace_from_star(spark, sf).order_items
+    assert plan_of(items.groupBy("order_id").count()).count("Exchange hashpartitioning") == 2  # items, orders
+
+
+def test_wide_rows_are_shuffled_once_after_the_facts(spark, stored, all_shuffled):
+    plan = plan_of(analytical_dataset(stored, ["order_id", "product_category", "customer_total_orders", "seller_avg_review_score"]))
+    shuffles = [line for line in plan.split("Exchange hashpartitioning(")[1:]]
+    assert sum("product_category" in s.split("FileScan")[0] and s.startswith("order_id") for s in shuffles) <= 1
+
+
+def test_customers_join_before_items(stored, all_shuffled):
+    plan = plan_of(facts.order_facts(stored, {"items", "customers"}))
+    assert plan.index("SortMergeJoin [order_id") < plan.index("SortMergeJoin [customer_id")  # the upper join comes first
