@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.operators.hash_order import row_hash
+from orderlens.operators.hash_order import in_bytes, row_hash
 from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
 from orderlens.sources.staging import broadcast_if_small, staged
 
@@ -44,7 +44,7 @@ def ordered_statistics(
         return train
     rows = staged(train.withColumn("_row", F.monotonically_increasing_id()), "target-rows")
     base = base_of(rows, label)
-    slim = rows.select("_row", row_hash(row_key, seed).alias("_hash"), F.coalesce(F.col(label), F.lit(0)).cast("double").alias("_late"), *columns)
+    slim = rows.select("_row", in_bytes(row_hash(row_key, seed)).alias("_hash"), F.coalesce(F.col(label), F.lit(0)).cast("double").alias("_late"), *columns)
     long = _long(slim, columns, ["_row", "_hash", "_late"])
     seen = with_history(long, ["column", "category"], ["_hash", "_row"], before={"_late_before": "_late", "_rows_before": "1"}, policy=policy)
     rate = F.expr(f"(_late_before + {prior_rows!r}D * {base!r}D) / (_rows_before + {prior_rows!r}D)")

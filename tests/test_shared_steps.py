@@ -1,9 +1,12 @@
 """Steps that all model queries share do no work twice and nothing row by row that can be done in bulk."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import backlog, distribution
+from orderlens.operators.hash_order import in_bytes, row_hash, with_rank
 from orderlens.operators.ordered import SkewPolicy, with_history
 from orderlens.plans import history
 from orderlens.sources.marketplace import marketplace_from_star
@@ -81,3 +84,11 @@ def test_cells_between_few_edges_need_no_function_call(spark, edges):
         cell = sum(e < i / 100 for e in edges) + sum(e <= i / 100 for e in edges)
         want[cell] = want.get(cell, 0) + 1
     assert {r["_cell"]: r["_n"] for r in cells.collect()} == want
+
+
+def test_hashes_are_shuffled_as_bytes_in_the_order_of_their_digits(spark):
+    df = spark.range(2000).selectExpr("CAST(id AS string) AS order_id", "id % 2 AS late")
+    hashed = df.select(row_hash(["order_id"], 42).alias("digits")).withColumn("bytes", in_bytes("digits"))
+    assert [r["digits"] for r in hashed.orderBy("bytes").collect()] == [r["digits"] for r in hashed.orderBy("digits").collect()]
+    assert {len(r["bytes"]) for r in hashed.collect()} == {16}
+    assert re.search(r"unhex\(_hash", plan_of(with_rank(df, ["late"], ["order_id"], 42)))
