@@ -115,3 +115,32 @@ def test_hermite_polynomials():
     for k, f in enumerate([lambda u: 1, lambda u: u, lambda u: u * u - 1, lambda u: u**3 - 3 * u, lambda u: u**4 - 6 * u * u + 3]):
         for u in (-2.0, 0.0, 0.3, 1.7):
             assert eval(dist._hermite(k, "u").replace("D", "")) == pytest.approx(f(u))
+
+
+@pytest.mark.parametrize("most", [dist.RANKED_ROWS, 100], ids=["between edges", "edges that hold too much"])
+@pytest.mark.parametrize("level", [1 / 3, 0.995, 1.0])
+def test_quantiles_of_columns_equal_numpy(spark, numbers, most, level):
+    """NULL and NaN left out, ties, a constant, one value, no value, infinite ends."""
+    ties = np.floor(numbers / 20)
+    ends = np.r_[-np.inf, numbers[:100], np.inf]
+    columns = {"x": numbers, "t": ties, "c": np.full(700, 2.5), "one": np.array([-1.0]), "none": np.array([])}
+    if most == dist.RANKED_ROWS:
+        columns["e"] = ends
+    n = len(numbers) + 2
+    padded = {k: [*map(float, v), None, float("nan"), *[None] * n][:n] for k, v in columns.items()}
+    df = spark.createDataFrame([*zip(*padded.values(), strict=True)], ", ".join(f"{k} double" for k in padded))
+    found = dist.column_quantiles(df, list(columns), level, most)
+    assert {k: found[k][0] for k in found} == {k: len(v) for k, v in columns.items() if len(v)}
+    for k in found:
+        ranked = np.sort(columns[k])
+        at = level * (len(ranked) - 1)
+        low, high = ranked[int(at)], ranked[min(int(at) + 1, len(ranked) - 1)]
+        want = low + (high - low) * (at - int(at)) if np.isfinite(high - low) else None
+        assert want is None or found[k][1] == want
+
+
+def test_quantiles_of_columns_agree_with_those_of_rows(spark, numbers):
+    df = spark.createDataFrame([(float(v), float(v) % 7) for v in numbers], "x double, y double")
+    rows = {r["column"]: r["value"] for r in dist.quantiles(dist.value_rows(df, ["x", "y"]), [0.995]).collect()}
+    assert {k: v for k, (_, v) in dist.column_quantiles(df, ["x", "y"], 0.995).items()} == rows
+    assert dist.column_quantiles(df.limit(0), ["x", "y"], 0.995) == {} == dist.column_quantiles(df, [], 0.5)

@@ -1,14 +1,17 @@
 """Steps that all model queries share do no work twice and nothing row by row that can be done in bulk."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.functions import calendar
 from orderlens.operators import backlog, distribution
 from orderlens.operators.hash_order import in_bytes, row_hash, with_rank
 from orderlens.operators.ordered import SkewPolicy, with_history
-from orderlens.plans import history
+from orderlens.plans import features, history
+from orderlens.sources import staging
 from orderlens.sources.marketplace import marketplace_from_star
 
 
@@ -92,3 +95,26 @@ def test_hashes_are_shuffled_as_bytes_in_the_order_of_their_digits(spark):
     assert [r["digits"] for r in hashed.orderBy("bytes").collect()] == [r["digits"] for r in hashed.orderBy("digits").collect()]
     assert {len(r["bytes"]) for r in hashed.collect()} == {16}
     assert re.search(r"unhex\(_hash", plan_of(with_rank(df, ["late"], ["order_id"], 42)))
+
+
+def test_caps_of_a_stored_table_are_fitted_without_writing_values(spark, monkeypatch):
+    """Values of a table that is not stored are written once, so that it is not built for every pass."""
+    df = spark.range(500).selectExpr(*[f"CAST(id * {i + 3} % 101 AS double) AS {c}" for i, c in enumerate(features.CAPPED)])
+    written = []
+    keep = staging.staged
+    for module in (features, distribution):
+        monkeypatch.setattr(module, "staged", lambda df, label, *a: written.append(label) or keep(df, label, *a))
+    plain = features.fit_thresholds(df)
+    assert written == ["values"]
+    assert features.fit_thresholds(keep(df, "features")) == plain and len(plain) == len(features.CAPPED)
+    assert written == ["values"]
+    assert features.fit_thresholds(df.limit(1)) == {}
+
+
+def test_the_nearest_holiday_is_found_without_a_function_call_per_day(spark):
+    days = spark.range(-900, 1500).selectExpr("timestampadd(DAY, CAST(id AS int), TIMESTAMP_NTZ'2016-12-25 13:00:00') AS t").unionByName(spark.sql("SELECT CAST(NULL AS timestamp_ntz) AS t"))
+    got = days.select("t", calendar.days_to_nearest("t").alias("n"))
+    assert "lambdafunction" not in plan_of(got) and dict(got.dtypes)["n"] == "int"
+    listed = [dt.date.fromisoformat(d) for d in calendar.HOLIDAYS]
+    for t, n in got.collect():
+        assert n == (None if t is None else min(abs((t.date() - d).days) for d in listed))
