@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.operators.ordered import SkewPolicy
 from orderlens.plans import modeling as md
@@ -94,3 +95,18 @@ def test_train_save_and_choose(spark, tmp_path):
     assert md.predict(model, unseen).count() == 1
     with pytest.raises(FileNotFoundError):
         md.load_model([str(tmp_path / "nowhere")])
+
+
+def test_a_fit_assembles_each_row_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def value(i):
+        seen.add(1)
+        return float(i % 7)
+
+    rows = spark.range(400).selectExpr("CAST(id AS string) AS order_id", "CAST(id % 3 = 0 AS int) AS is_late", "id").withColumn("total_price", F.udf(value, "double")("id")).drop("id")
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = md.fit_trees(rows, md.TreeSettings(rounds=2, depth=2))
+    assert seen.value == 400
+    assert md.trees_of(model).getNumTrees == 2
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
