@@ -112,3 +112,15 @@ def test_impacts_of_a_model_make_no_rows_of_variants(rows, model):
     assert found == sorted(map(tuple, plain.collect())) and len(found) == 3 * 62
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Aggregate" not in plan
+
+
+def test_features_as_an_array_are_those_of_the_vector_without_making_it(spark, model):
+    odd = spark.createDataFrame(
+        [("a", "c1", 1.5, -0.0), ("b", "c99", None, 3.0), ("c", None, float("nan"), 0.0)], "order_id string, product_category string, total_price double, distance_km double"
+    )
+    ready = ensemble._ready(model, odd, ["order_id"])
+    vectors = model.stages[1].transform(model.stages[0].transform(odd)).select("order_id", vector_to_array("features").alias("x"))
+    expected = {r["order_id"]: r["x"] for r in vectors.collect()}
+    for r in ready.collect():
+        np.testing.assert_array_equal(r["_x"], expected[r["order_id"]])
+    assert "struct(" not in ready._jdf.queryExecution().optimizedPlan().toString()
