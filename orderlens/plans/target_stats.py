@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.hash_order import in_bytes, row_hash
 from orderlens.operators.ordered import DEFAULT_POLICY, SkewPolicy, with_history
-from orderlens.sources.staging import broadcast_if_small, staged
+from orderlens.sources.staging import WIDE, broadcast_if_small, staged
 
 MISSING = "UNKNOWN"
 PRIOR_ROWS = 1.0  # the overall rate counts as so many rows
@@ -42,7 +42,7 @@ def ordered_statistics(
     """
     if not columns:
         return train
-    rows = staged(train.withColumn("_row", F.monotonically_increasing_id()), "target-rows")
+    rows = staged(train.withColumn("_row", F.monotonically_increasing_id()), "target-rows", WIDE)
     base = base_of(rows, label)
     slim = rows.select("_row", in_bytes(row_hash(row_key, seed)).alias("_hash"), F.coalesce(F.col(label), F.lit(0)).cast("double").alias("_late"), *columns)
     long = _long(slim, columns, ["_row", "_hash", "_late"])
