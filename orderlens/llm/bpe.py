@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from orderlens.llm.common import bounded_batches, slices
 
@@ -167,6 +168,7 @@ class WordBpe:
         # The file means Unicode white space; regex would count four control characters as well.
         self.words = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}"))
         self.symbol = byte_symbols()
+        self.library = Tokenizer.from_file(path)
         self.chunks: list[dict[str, tuple[str, str]]] = [{}, {}]
         self.encoded: list[dict[str, tuple[str, str]]] = [{}, {}]
 
@@ -175,6 +177,10 @@ class WordBpe:
             if piece.isalpha():
                 return [piece.lower()]
             return self.words.findall(piece.lower())
+        if not piece.isprintable() and any([unicodedata.category(c) == "Cn" for c in piece]):
+            # Whether these are letters yet depends on the Unicode version that a library knows.
+            text = self.library.normalizer.normalize_str(piece.encode("utf-8", "replace").decode("utf-8"))
+            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
         text = "".join([c.lower() for c in unicodedata.normalize("NFC", piece)])
         symbol = self.symbol
         return ["".join([symbol[b] for b in w.encode("utf-8", "replace")]) for w in self.words.findall(text)]
