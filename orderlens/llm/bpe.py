@@ -177,7 +177,7 @@ class WordBpe:
             if piece.isalpha():
                 return [piece.lower()]
             return self.words.findall(piece.lower())
-        if not piece.isprintable() and any([unicodedata.category(c) == "Cn" for c in piece]):
+        if not (piece.isascii() or piece.isprintable()) and any([unicodedata.category(c) == "Cn" for c in piece]):
             # Whether these are letters yet depends on the Unicode version that a library knows.
             text = self.library.normalizer.normalize_str(piece.encode("utf-8", "replace").decode("utf-8"))
             return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
